@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglens.functions.once import evaluate_once
+
 # The field names of a combined log line and the pattern that
 # yields them, one capturing group per field, in this order.
 COMBINED_FIELDS = (
@@ -35,7 +37,7 @@ _SEPARATOR = "\u0001"
 
 
 def combined_parts(message: Column) -> Column:
-    """Array of the twelve captured texts, NULL when the line does not match.
+    """Array of the twelve captured texts; another length when nothing matched.
 
     A single replacement evaluates the pattern once per line; extracting each
     group on its own would evaluate it twelve times. Lines that contain the
@@ -45,25 +47,21 @@ def combined_parts(message: Column) -> Column:
     joined = F.regexp_replace(
         message, F.lit(COMBINED_PATTERN), F.lit(_SEPARATOR.join(f"${i}" for i in groups))
     )
-    by_replacement = F.split(joined, _SEPARATOR, -1)
     by_group = F.array(*[F.regexp_extract(message, COMBINED_PATTERN, i) for i in groups])
-    matched = F.when(F.size(by_replacement) == len(COMBINED_FIELDS), by_replacement)
-    return F.when(F.instr(message, _SEPARATOR) == 0, matched).when(
+    return F.when(F.instr(message, _SEPARATOR) == 0, F.split(joined, _SEPARATOR, -1)).when(
         message.rlike(COMBINED_PATTERN), by_group
     )
 
 
 def parse_combined_log(lines: DataFrame, message: str = "message") -> DataFrame:
     """Add the twelve fields and ``parsed``; fields not captured are NULL."""
-    parts = lines.withColumn("_parts", combined_parts(F.col(message)))
+    parts = evaluate_once(lines, "_parts", combined_parts(F.col(message)))
+    parsed = F.coalesce(F.size("_parts") == len(COMBINED_FIELDS), F.lit(False))
     fields = {
-        name: F.nullif(F.col("_parts")[i], F.lit("")) for i, name in enumerate(COMBINED_FIELDS)
+        name: F.nullif(F.when(parsed, F.get("_parts", F.lit(i))), F.lit(""))
+        for i, name in enumerate(COMBINED_FIELDS)
     }
-    return (
-        parts.withColumns(fields)
-        .withColumn("parsed", F.col("_parts").isNotNull())
-        .drop("_parts")
-    )
+    return parts.withColumns({**fields, "parsed": parsed}).drop("_parts")
 
 
 def parse_log_time(text: Column) -> Column:

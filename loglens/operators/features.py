@@ -105,6 +105,8 @@ def frequencies(df: DataFrame, columns) -> DataFrame:
 
 def index_columns(df: DataFrame, columns, row_id: str) -> DataFrame:
     """Add the index column of each of ``columns``; one counting pass for all."""
+    if not columns:
+        return df
     counts = checkpointed(frequencies(df, columns))
     for column in columns:
         own = counts.filter(F.col("column") == column).select(F.col("value").alias(column), "n")

@@ -16,12 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglens.functions.once import evaluate_once
 from loglens.functions.parsing import strip_commas
 from loglens.operators.ordering import running_totals
-from loglens.session import checkpointed
-
-# Levels opened before the intermediate rows are stored.
-_LEVELS_PER_PASS = 16
 
 
 def nesting_depth(text: Column) -> Column:
@@ -43,122 +40,127 @@ def parse_documents(df: DataFrame, doc_id: str, text: str):
     An object gives one row, an array of objects one row per element. Everything
     else is quarantined with a reason.
     """
-    parsed = df.select(
-        doc_id, F.col(text).alias("_text"), F.try_parse_json(text).alias("_value")
-    ).withColumns(
-        {
-            "_object": F.expr("try_cast(_value as map<string,variant>) is not null"),
-            "_array": F.expr("try_cast(_value as array<variant>)"),
-        }
-    )
-    of_objects = F.coalesce(
-        F.expr("forall(_array, e -> coalesce(try_cast(e as map<string,variant>) is not null, false))"),
-        F.lit(False),
-    )
-    good = F.col("_object") | of_objects
-    elements = F.when(F.col("_object"), F.array("_value")).otherwise(F.col("_array"))
-    rows = parsed.filter(good).select(
-        doc_id, F.posexplode(elements).alias("element", "value")
-    )
+    texts = df.select(doc_id, F.col(text).alias("_text"))
+    parsed = evaluate_once(texts, "_value", F.try_parse_json("_text"))
+    is_object = F.col("_value").try_cast("map<string,variant>").isNotNull()
+    as_list = F.col("_value").try_cast("array<variant>")
+    of_objects = F.forall(as_list, lambda e: e.try_cast("map<string,variant>").isNotNull())
+    elements = F.when(is_object, F.array("_value")).when(of_objects, as_list)
+    # NULL where the text is neither; an empty array is a document without rows.
+    split = evaluate_once(parsed, "_elements", elements)
+    rows = split.select(
+        doc_id,
+        nesting_depth(F.col("_text")).alias("_depth"),
+        F.posexplode_outer("_elements").alias("element", "value"),
+    ).filter(F.col("element").isNotNull())
     reason = (
         F.when(F.col("_text").isNull(), "missing text")
         .when(F.col("_value").isNull(), "malformed JSON")
         .otherwise("neither an object nor an array of objects")
     )
-    bad = parsed.filter(~good).select(doc_id, F.col("_text").alias(text), reason.alias("reason"))
+    bad = split.filter(F.col("_elements").isNull()).select(
+        doc_id, F.col("_text").alias(text), reason.alias("reason")
+    )
     return rows, bad
 
 
-def _is_array(value: Column) -> Column:
-    return value.try_cast("array<variant>").isNotNull()
+# What is left to open and what is finished while a document is being flattened.
+_STATE = (
+    "struct<open:array<struct<prefix:string,path:string,value:variant>>,"
+    "leaves:array<struct<key:string,path:string,value:string>>>"
+)
+_SCALAR, _LIST, _OBJECT = 0, 1, 2
 
 
-def _is_null(value: Column) -> Column:
-    return F.coalesce(F.is_variant_null(value), F.lit(True))
+def _kind(value: Column) -> Column:
+    return (
+        F.when(value.try_cast("array<variant>").isNotNull(), _LIST)
+        .when(value.try_cast("map<string,variant>").isNotNull(), _OBJECT)
+        .otherwise(_SCALAR)
+    )
 
 
-def _entry(prefix, name, path, value, dropped) -> Column:
-    """``prefix`` is what the members of a container start with, ``name`` the key
-    of a scalar."""
-    return F.struct(
-        prefix.alias("prefix"),
-        name.alias("name"),
-        path.alias("path"),
-        value.alias("value"),
-        dropped.alias("dropped"),
+def _members(container: Column) -> Column:
+    """Members of an object or list: ``kind``, ``prefix`` for what they contain,
+    ``key`` and ``path`` of their own."""
+    prefix, path = container["prefix"], container["path"]
+    of_object = F.transform(
+        F.map_entries(container["value"].try_cast("map<string,variant>")),
+        lambda e: F.struct(
+            _kind(e["value"]).alias("kind"),
+            F.concat(prefix, e["key"]).alias("key"),
+            e["key"].alias("own"),
+            prefix.alias("inherited"),
+            F.concat(path, F.lit("."), e["key"]).alias("path"),
+            e["value"].alias("value"),
+            F.lit(True).alias("named"),
+        ),
     )
+    of_list = F.transform(
+        container["value"].try_cast("array<variant>"),
+        lambda v, i: F.struct(
+            _kind(v).alias("kind"),
+            F.concat(prefix, (i + 1).cast("string")).alias("key"),
+            F.concat(prefix, i.cast("string")).alias("own"),
+            F.concat(prefix, (i + 1).cast("string")).alias("inherited"),
+            F.concat(path, F.lit("["), F.lpad(i.cast("string"), 10, "0")).alias("path"),
+            v.alias("value"),
+            F.lit(False).alias("named"),
+        ),
+    )
+    return F.coalesce(of_object, of_list)
+
 
+def _next_level(state: Column) -> Column:
+    """Open every open container; scalars among the members are finished."""
+    members = F.flatten(F.transform(state["open"], _members))
 
-def _open_level(entries: Column) -> Column:
-    """Replace every container among the entries by its members."""
-
-    def members(p):
-        as_map = p["value"].try_cast("map<string,variant>")
-        as_list = p["value"].try_cast("array<variant>")
-        of_object = F.transform(
-            F.map_entries(as_map),
-            lambda e: _entry(
-                prefix=F.when(_is_array(e["value"]), e["key"]).otherwise(p["prefix"]),
-                name=F.concat(p["prefix"], e["key"]),
-                path=F.concat(p["path"], F.lit("."), e["key"]),
-                value=e["value"],
-                dropped=_is_null(e["value"])
-                | F.coalesce(e["value"].try_cast("string") == "null", F.lit(False)),
+    def step(found):
+        opened = F.transform(
+            F.filter(found, lambda m: m["kind"] != _SCALAR),
+            lambda m: F.struct(
+                F.when(m["kind"] == _LIST, m["own"]).otherwise(m["inherited"]).alias("prefix"),
+                m["path"].alias("path"),
+                m["value"].alias("value"),
             ),
         )
-        of_list = F.transform(
-            as_list,
-            lambda v, i: _entry(
-                prefix=F.concat(
-                    p["prefix"], F.when(_is_array(v), i).otherwise(i + 1).cast("string")
-                ),
-                name=F.concat(p["prefix"], (i + 1).cast("string")),
-                path=F.concat(p["path"], F.lit("["), F.lpad(i.cast("string"), 10, "0")),
-                value=v,
-                dropped=_is_null(v),
+        leaves = F.transform(
+            F.filter(found, lambda m: m["kind"] == _SCALAR),
+            lambda m: F.struct(
+                m["key"].alias("key"),
+                m["path"].alias("path"),
+                # JSON null has no text; the text "null" of a named member goes too.
+                F.nullif(
+                    m["value"].cast("string"), F.when(m["named"], F.lit("null"))
+                ).alias("value"),
             ),
         )
-        return (
-            F.when(as_map.isNotNull(), of_object)
-            .when(as_list.isNotNull(), of_list)
-            .otherwise(F.array(p))
-        )
+        kept = F.filter(leaves, lambda leaf: leaf["value"].isNotNull())
+        return F.struct(opened.alias("open"), F.concat(state["leaves"], kept).alias("leaves"))
 
-    return F.filter(F.flatten(F.transform(entries, members)), lambda e: ~e["dropped"])
+    # One-element array: the members are computed once and used twice.
+    return F.transform(F.array(members), step)[0]
 
 
-def flatten_objects(objects: DataFrame, depth: int) -> DataFrame:
+def flatten_objects(objects: DataFrame, depth: Column) -> DataFrame:
     """Replace ``value`` by ``flat MAP<STRING,STRING>`` and ``collisions INT``.
 
-    ``depth`` is an upper bound of the nesting depth of all values.
+    ``depth`` is an upper bound of the nesting depth of the value of a row; it
+    is the number of levels opened, so any depth is flattened completely.
     """
-    empty = F.lit("")
-    root = _entry(empty, empty, empty, F.col("value"), F.lit(False))
-    rows = objects.withColumn("_entries", F.array(root)).drop("value")
-    for level in range(depth):
-        if level and level % _LEVELS_PER_PASS == 0:
-            rows = checkpointed(rows)
-        rows = rows.withColumn("_entries", _open_level(F.col("_entries")))
-    rows = rows.withColumn(
-        "_leaves",
-        F.array_sort(
-            F.transform(
-                "_entries",
-                lambda e: F.struct(
-                    e["name"].alias("key"),
-                    e["path"].alias("path"),
-                    e["value"].cast("string").alias("value"),
-                ),
-            )
-        ),
+    root = F.struct(F.lit("").alias("prefix"), F.lit("").alias("path"), "value")
+    start = F.struct(F.array(root).alias("open"), F.array().alias("leaves")).cast(_STATE)
+    finished = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), start, lambda state, _: _next_level(state)
     )
+    rows = evaluate_once(objects, "_leaves", F.sort_array(finished["leaves"])).drop("value")
     # Sorted by key and path, so the last entry of each key is the one that stays.
     last_of_key = F.filter(
         "_leaves",
         lambda e, i: F.coalesce(F.get("_leaves", i + 1)["key"] != e["key"], F.lit(True)),
     )
     return (
-        rows.withColumn("_kept", last_of_key)
+        evaluate_once(rows, "_kept", last_of_key)
         .withColumn(
             "flat",
             F.map_from_arrays(
@@ -167,25 +169,21 @@ def flatten_objects(objects: DataFrame, depth: int) -> DataFrame:
             ),
         )
         .withColumn("collisions", F.size("_leaves") - F.size("_kept"))
-        .drop("_entries", "_leaves", "_kept")
+        .drop("_leaves", "_kept", "_depth")
     )
 
 
-def flatten_json(df: DataFrame, doc_id: str, text: str, depth: int | None = None):
-    """``(doc_id, element, flat, collisions)`` and the quarantined documents.
-
-    Without ``depth`` one extra pass finds the depth of the deepest document.
-    """
-    if depth is None:
-        depth = df.agg(F.max(nesting_depth(F.col(text))).alias("d")).first()["d"] or 0
+def flatten_json(df: DataFrame, doc_id: str, text: str):
+    """``(doc_id, element, flat, collisions)`` and the quarantined documents."""
     objects, bad = parse_documents(df, doc_id, text)
-    return flatten_objects(objects, depth), bad
+    return flatten_objects(objects, F.col("_depth")), bad
 
 
 def flat_long(flat: DataFrame) -> DataFrame:
     """One row per key."""
     others = [c for c in flat.columns if c not in ("flat", "collisions")]
-    return flat.select(*others, F.explode("flat").alias("key", "value"))
+    keys = F.map_entries("flat")
+    return flat.select(*others, F.inline(keys))
 
 
 def all_keys(flat: DataFrame) -> DataFrame:
@@ -216,8 +214,10 @@ def csv_lines(flat: DataFrame, doc_id: str, single_task_rows=None) -> DataFrame:
     header = keys.select(
         F.lit(0).cast("bigint").alias("line_no"), F.array_join("keys", ",").alias("line")
     )
-    cells = F.transform(keys.select("keys").scalar(), _cell)
-    lines = flat.select(doc_id, "element", F.array_join(cells, ",").alias("line"))
+    cells = F.transform("_keys", _cell)
+    lines = flat.withColumn("_keys", keys.scalar()).select(
+        doc_id, "element", F.array_join(cells, ",").alias("line")
+    )
     numbered = running_totals(
         lines,
         [F.asc(doc_id), F.asc("element")],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows per distinct item the hot-key sketch follows, and the most keys it returns.
@@ -78,7 +78,7 @@ def lookup_join(
     small = fits_broadcast(dim, broadcast_bytes)
     if not small:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        schema = StructType([facts.schema[key]]).add("_pieces", "int")
+        schema = StructType([facts.schema[key]]).add("_pieces", IntegerType())
         # At most one row per shuffle partition, see hot_keys.
         pieces = F.broadcast(spark.createDataFrame(hot_keys(facts, key, partitions), schema))
         # Rows without a key match nothing, so they may go anywhere.

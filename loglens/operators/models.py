@@ -23,6 +23,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loglens.functions.once import evaluate_once
 from loglens.functions.split import TRAIN_PERCENT, is_train
 from loglens.operators.prepare import has_rows
 from loglens.session import cached, checkpointed
@@ -102,20 +103,26 @@ def fit_kmeans(
 
 def _distance(vector, center):
     gaps = F.zip_with(vector, center, lambda a, b: (a - b) * (a - b))
-    return F.aggregate(gaps, F.lit(0.0).cast("double"), lambda total, gap: total + gap)
+    return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
 
 
 def assign_nearest(df: DataFrame, vector: str, centers, out: str = "clusters") -> DataFrame:
     """Nearest of k given centres ``[(number, [..]), ..]``; ties to the smaller number."""
+    known = F.array(
+        *[
+            F.struct(
+                F.lit(int(number)).alias("number"),
+                F.array(*[F.lit(float(x)) for x in center]).alias("center"),
+            )
+            for number, center in centers
+        ]
+    )
     point = F.col(vector).cast("array<double>")
-    candidates = [
-        F.struct(
-            _distance(point, F.array(*[F.lit(float(x)) for x in center])).alias("d"),
-            F.lit(int(number)).alias("c"),
-        )
-        for number, center in centers
-    ]
-    return df.withColumn(out, F.array_min(F.array(*candidates))["c"])
+    distances = F.transform(
+        known,
+        lambda c: F.struct(_distance(point, c["center"]).alias("d"), c["number"].alias("number")),
+    )
+    return evaluate_once(df, out, F.array_min(distances)["number"])
 
 
 def group_means(df: DataFrame, vector: str, group: str) -> DataFrame:

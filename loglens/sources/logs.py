@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from loglens.functions.once import evaluate_once
 from loglens.schema import LOG_SCHEMA
 
 # Fixed value: tag of lines read from web-server log files.
@@ -46,12 +47,10 @@ def decode_messages(messages: DataFrame, schema: StructType = LOG_SCHEMA) -> Dat
     that is not JSON, not an object, or has none of the fields is bad.
     """
     wide = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
-    parsed = messages.withColumn(
-        "_record",
-        F.from_json(
-            "value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-        ),
+    record = F.from_json(
+        "value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
+    parsed = evaluate_once(messages, "_record", record)
     known = F.lit(False)
     for field in schema.fields:
         known = known | F.col("_record")[field.name].isNotNull()

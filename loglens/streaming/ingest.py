@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from loglens.schema import LOG_SCHEMA
 from loglens.session import cached
@@ -13,6 +13,8 @@ from loglens.sources.logs import bad_records, decode_messages, good_records
 
 # Fixed value: time between micro-batches.
 BATCH_INTERVAL = "2 seconds"
+# Partition column of the tables that batches write.
+BATCH_FIELD = StructField("batch_id", LongType())
 
 
 def trigger_options(available_now: bool = False, interval: str = BATCH_INTERVAL) -> dict:
@@ -54,7 +56,7 @@ def ingest_logs(
 
 
 def read_ingested(spark, path: str, schema: StructType = LOG_SCHEMA, keep_fields=()) -> DataFrame:
-    full = StructType([*keep_fields, *schema.fields]).add("batch_id", "int")
+    full = StructType([*keep_fields, *schema.fields, BATCH_FIELD])
     return spark.read.schema(full).parquet(path)
 
 

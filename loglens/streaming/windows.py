@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from loglens.streaming.ingest import BATCH_INTERVAL, event_time, trigger_options
+from loglens.streaming.ingest import BATCH_FIELD, BATCH_INTERVAL, event_time, trigger_options
 
 # Window length and slide.
 WINDOW = "10 seconds"
@@ -56,6 +57,6 @@ def write_window_updates(
 
 def latest_windows(spark, path: str, schema, by=()) -> DataFrame:
     """The last written count of every window."""
-    updates = spark.read.schema(schema.add("batch_id", "int")).parquet(path)
+    updates = spark.read.schema(StructType([*schema.fields, BATCH_FIELD])).parquet(path)
     keys = ["window_start", "window_end", *by]
     return updates.groupBy(*keys).agg(F.max_by("n", "batch_id").alias("n"))
