@@ -59,6 +59,10 @@ def geoip_enrich(
     return joined.drop("_ip", "_block", "ip_start", "ip_end")
 
 
+def _places(gazetteer: DataFrame) -> DataFrame:
+    return gazetteer.groupBy("address").agg(F.min(F.struct("lat", "lng")).alias("_place"))
+
+
 def geocode_lookup(
     rows: DataFrame,
     gazetteer: DataFrame,
@@ -71,11 +75,7 @@ def geocode_lookup(
     ``gazetteer`` is ``(address, lat, lng)``. Of several places with one address
     the one with the smallest coordinates is taken, so the answer is stable.
     """
-    places = (
-        gazetteer.groupBy("address")
-        .agg(F.min(F.struct("lat", "lng")).alias("_place"))
-        .withColumnRenamed("address", address)
-    )
+    places = _places(gazetteer).withColumnRenamed("address", address)
     joined = lookup_join(rows, places, address, salt_by=row_id, broadcast_bytes=broadcast_bytes)
     return joined.withColumns(
         {
@@ -84,3 +84,25 @@ def geocode_lookup(
             "geocoded": F.col("_place").isNotNull(),
         }
     ).drop("_place")
+
+
+# Names of the SQL functions and the coordinate each returns.
+GEOCODE_FUNCTIONS = {"geocodeCityCountryLat": "lat", "geocodeCityCountryLng": "lng"}
+
+
+def register_geocode_functions(gazetteer: DataFrame, view: str = "gazetteer_places") -> None:
+    """SQL functions ``(address) -> coordinate``, 0.0 when unknown.
+
+    They are SQL bodies, not Python: each call becomes a left join with the
+    gazetteer. For both coordinates at once :func:`geocode_lookup` joins once.
+    """
+    spark = gazetteer.sparkSession
+    _places(gazetteer).selectExpr("address", "_place.lat", "_place.lng").createOrReplaceTempView(
+        view
+    )
+    for name, coordinate in GEOCODE_FUNCTIONS.items():
+        spark.sql(
+            f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(place STRING) RETURNS DOUBLE
+            RETURN coalesce((SELECT max({coordinate}) FROM {view} WHERE address = place),
+                            CAST(0 AS DOUBLE))"""
+        )

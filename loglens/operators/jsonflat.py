@@ -64,6 +64,9 @@ def parse_documents(df: DataFrame, doc_id: str, text: str):
     return rows, bad
 
 
+# Columns of a wide table; the default of Spark's own pivot.
+MAX_COLUMNS = 10_000
+
 # What is left to open and what is finished while a document is being flattened.
 _STATE = (
     "struct<open:array<struct<prefix:string,path:string,value:variant>>,"
@@ -199,11 +202,14 @@ def _cell(key: Column) -> Column:
 def flat_wide(flat: DataFrame, keys=None) -> DataFrame:
     """One column per key in sorted order, "" where a row lacks it, commas removed.
 
-    Columns need names on the driver; for more keys than a table can have
-    columns use :func:`csv_lines`.
+    Columns need names on the driver. More keys than ``MAX_COLUMNS`` are refused;
+    :func:`csv_lines` takes any number.
     """
     if keys is None:
-        keys = all_keys(flat).first()["keys"]
+        names = flat.select(F.explode(F.map_keys("flat")).alias("key")).distinct()
+        keys = sorted(row["key"] for row in names.take(MAX_COLUMNS + 1))
+    if len(keys) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} keys: use csv_lines")
     others = [c for c in flat.columns if c not in ("flat", "collisions")]
     return flat.select(*others, *[_cell(F.lit(key)).alias(key) for key in keys])
 

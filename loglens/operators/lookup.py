@@ -74,6 +74,7 @@ def lookup_join(
       matching ``dim`` rows are repeated once per piece.
     """
     spark = facts.sparkSession
+    columns = facts.columns + [c for c in dim.columns if c != key]
     ids = [salt_by] if isinstance(salt_by, str) else list(salt_by)
     small = fits_broadcast(dim, broadcast_bytes)
     if not small:
@@ -109,4 +110,4 @@ def lookup_join(
         condition = condition & residual(facts, renamed)
     right = F.broadcast(renamed) if small else renamed
     joined = facts.join(right, condition, how)
-    return joined.drop(*[f"_dim_{name}" for name in keys], "_salt")
+    return joined.select(*[F.col(f"`{name}`") for name in columns])

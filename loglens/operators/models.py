@@ -33,6 +33,7 @@ CLUSTERS = 5
 SGD_ITERATIONS = 10
 SGD_STEP = 1e-15
 SGD_TOLERANCE = 0.001
+LOGISTIC = {"family": "multinomial", "maxIter": 100, "tol": 1e-4}
 NAIVE_BAYES_SMOOTHING = 1.0
 TREE_IMPURITY = "gini"
 TREE_DEPTH = 10
@@ -85,7 +86,9 @@ def fit_kmeans(
     Clusters are numbered in the order of their centres, which makes the labels
     independent of the random start.
     """
-    points = vectors(weighted_rows(df, features, weight), features, "_features")
+    # Stored first, so that the iterations see as many tasks as the distinct rows need.
+    points = checkpointed(weighted_rows(df, features, weight))
+    points = vectors(points, features, "_features")
     kmeans = KMeans(
         k=k,
         featuresCol="_features",
@@ -226,7 +229,7 @@ def _estimator(kind: str, **params):
     if kind == "elastic_net":
         return LinearRegression(**{**_COLUMNS, **ELASTIC_NET, **params})
     if kind == "logistic":
-        return LogisticRegression(**{**_COLUMNS, "family": "multinomial", **params})
+        return LogisticRegression(**{**_COLUMNS, **LOGISTIC, **params})
     if kind == "naive_bayes":
         return NaiveBayes(
             **{
@@ -272,11 +275,11 @@ def fit_weighted(
 ) -> Fitted:
     """Fit on ``features`` and ``label`` columns of ``rows``."""
     columns = [*features, "label"]
-    train = weighted_rows(rows, columns, weight).withColumn("label", F.col("label").cast("double"))
-    train = vectors(train, features, "features", normalized)
-    with cached(train):
-        if not has_rows(train):
-            raise NoTrainingData(f"no training rows for {kind}")
+    stored = checkpointed(weighted_rows(rows, columns, weight))
+    if not has_rows(stored):
+        raise NoTrainingData(f"no training rows for {kind}")
+    train = stored.withColumn("label", F.col("label").cast("double"))
+    with cached(vectors(train, features, "features", normalized)) as train:
         model = _estimator(kind, **params).fit(train)
     return Fitted(model, tuple(features), normalized)
 

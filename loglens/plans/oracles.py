@@ -398,6 +398,11 @@ SELECT event_id, city_name AS address,
   CAST(CASE WHEN n.n_name IS NULL THEN 0 ELSE n.n_nationkey + 0.5 END AS DOUBLE) AS lat,
   CAST(CASE WHEN n.n_name IS NULL THEN 0 ELSE n.n_nationkey * 2 END AS DOUBLE) AS lng,
   n.n_name IS NOT NULL AS geocoded
+FROM records r LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n ON city_name = n.n_name""",
+    "geocode_sql_functions": f"""WITH {_RECORDS}
+SELECT event_id,
+  CAST(CASE WHEN n.n_name IS NULL THEN 0 ELSE n.n_nationkey + 0.5 END AS DOUBLE) AS lat,
+  CAST(CASE WHEN n.n_name IS NULL THEN 0 ELSE n.n_nationkey * 2 END AS DOUBLE) AS lng
 FROM records r LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n ON city_name = n.n_name""",
     "window_counts": _windows(10, 2),
     "minute_counts": _windows(60, 60),

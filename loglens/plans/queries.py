@@ -18,11 +18,12 @@ from loglens.operators import enrich, features, jsonflat, metrics, models, rules
 from loglens.operators.prepare import accumulate, feature_rows
 from loglens.plans.log_analysis import analyse_logs
 from loglens.schema import LOG_SCHEMA
-from loglens.session import new_path, written
+from loglens.session import new_path, spread_small_input, written
 from loglens.sinks import files
 from loglens.sources import kafka, logs, synthetic
 from loglens.sources.tables import (
     address_ranges,
+    event_places,
     log_lines,
     log_records,
     parsed_logs,
@@ -44,17 +45,18 @@ CENTRES = (
 )
 
 
-def _features(spark, sf_dir) -> DataFrame:
-    return feature_rows(log_records(spark, sf_dir), keep=("event_id",))
+def _features(spark, sf_dir, keep=("event_id",)) -> DataFrame:
+    return feature_rows(log_records(spark, sf_dir), keep)
 
 
-def _indexed(spark, sf_dir) -> DataFrame:
-    rows = written(_features(spark, sf_dir), "feature-rows")
+def _indexed(spark, sf_dir, keep=("event_id",)) -> DataFrame:
+    rows = written(_features(spark, sf_dir, keep), "feature-rows")
     return features.index_columns(rows, ("request", "verb", "city_name"), "event_id")
 
 
 def clustered_rows(spark, sf_dir) -> DataFrame:
-    point = _indexed(spark, sf_dir).withColumn("_point", F.array("response", "requestIndex"))
+    rows = _indexed(spark, sf_dir, keep=("event_id", "timestamp"))
+    point = rows.withColumn("_point", F.array("response", "requestIndex"))
     return written(models.assign_nearest(point, "_point", CENTRES).drop("_point"), "clustered")
 
 
@@ -115,7 +117,7 @@ def _messages(events: DataFrame) -> DataFrame:
 
 
 def json_strings(spark, sf_dir):
-    messages = _messages(table(spark, sf_dir, "events"))
+    messages = _messages(spread_small_input(table(spark, sf_dir, "events")))
     decoded = logs.decode_messages(messages)
     return decoded.select(
         "event_id",
@@ -145,10 +147,8 @@ def _with_precision(spark, sf_dir):
 
 def cluster_csv_files(spark, sf_dir):
     path = new_path(spark, "cluster-csv")
-    stamped = _with_precision(spark, sf_dir).join(
-        table(spark, sf_dir, "events").select("event_id", "ts"), "event_id"
-    )
-    files.cluster_csv_sink(files.with_minute(stamped, F.date_trunc("day", "ts")), path)
+    day = F.date_trunc("day", parse_log_time(F.col("timestamp")))
+    files.cluster_csv_sink(files.with_minute(_with_precision(spark, sf_dir), day), path)
     schema = "verb string, clusters int, precision double, minute string"
     back = logs.csv_rule_source(spark, path, schema)
     return back.groupBy("minute", "verb", "clusters", "precision").agg(F.count("*").alias("n"))
@@ -490,12 +490,9 @@ def rules_filtered(spark, sf_dir):
 
 
 def minute_rule_support(spark, sf_dir):
-    stamped = _with_precision(spark, sf_dir).join(
-        table(spark, sf_dir, "events").select("event_id", "ts"), "event_id"
-    )
-    made = rules.generate_rules(
-        stamped.withColumn("minute", minute_stamp(F.col("ts"))), by=("minute",)
-    )
+    minute = minute_stamp(parse_log_time(F.col("timestamp")))
+    stamped = _with_precision(spark, sf_dir).withColumn("minute", minute)
+    made = rules.generate_rules(stamped, by=("minute",))
     return made.select("minute", "rule", "support")
 
 
@@ -526,11 +523,13 @@ _DOCUMENT = f"""CASE WHEN event_type = 'error' THEN concat('{{bad ', props)
  ELSE {_NESTED} END"""
 
 
+def _documents(spark, sf_dir):
+    events = spread_small_input(table(spark, sf_dir, "events"))
+    return events.select("event_id", F.expr(_DOCUMENT).alias("document"))
+
+
 def _flat(spark, sf_dir):
-    documents = table(spark, sf_dir, "events").select(
-        "event_id", F.expr(_DOCUMENT).alias("document")
-    )
-    return jsonflat.flatten_json(documents, "event_id", "document")
+    return jsonflat.flatten_json(_documents(spark, sf_dir), "event_id", "document")
 
 
 def json_flat_long(spark, sf_dir):
@@ -555,10 +554,7 @@ def json_csv_lines(spark, sf_dir):
 
 def json_csv_files(spark, sf_dir):
     path = new_path(spark, "flat-csv")
-    documents = table(spark, sf_dir, "events").select(
-        "event_id", F.expr(_DOCUMENT).alias("document")
-    )
-    files.json_to_csv(documents, "event_id", "document", path)
+    files.json_to_csv(_documents(spark, sf_dir), "event_id", "document", path)
     back = spark.read.option("header", True).csv(path)
     return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in back.columns])
 
@@ -573,8 +569,8 @@ def geoip_enrich(spark, sf_dir):
     return made.select("event_id", "clientip", "geo_city")
 
 
-def geocode_lookup(spark, sf_dir):
-    gazetteer = (
+def _gazetteer(spark, sf_dir):
+    return (
         table(spark, sf_dir, "nation")
         .filter("n_regionkey <> 2")
         .selectExpr(
@@ -583,8 +579,20 @@ def geocode_lookup(spark, sf_dir):
             "CAST(n_nationkey * 2 AS DOUBLE) AS lng",
         )
     )
-    rows = log_records(spark, sf_dir).select("event_id", F.col("geoip.city_name").alias("address"))
-    return enrich.geocode_lookup(rows, gazetteer, "event_id")
+
+
+def geocode_lookup(spark, sf_dir):
+    rows = event_places(spark, sf_dir).select("event_id", F.col("geoip.city_name").alias("address"))
+    return enrich.geocode_lookup(rows, _gazetteer(spark, sf_dir), "event_id")
+
+
+def geocode_sql_functions(spark, sf_dir):
+    enrich.register_geocode_functions(_gazetteer(spark, sf_dir))
+    logs.register_view(event_places(spark, sf_dir), "geocoded_logs")
+    return spark.sql(
+        """SELECT event_id, geocodeCityCountryLat(geoip.city_name) AS lat,
+             geocodeCityCountryLng(geoip.city_name) AS lng FROM geocoded_logs"""
+    )
 
 
 # --- windows and streams ---------------------------------------------------------------------------
@@ -725,6 +733,7 @@ QUERIES = {
     "json_csv_files": json_csv_files,
     "geoip_enrich": geoip_enrich,
     "geocode_lookup": geocode_lookup,
+    "geocode_sql_functions": geocode_sql_functions,
     "window_counts": window_counts,
     "minute_counts": minute_counts,
     "stream_window_counts": stream_window_counts,

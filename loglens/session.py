@@ -67,6 +67,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Use every core for a table stored in fewer scan tasks than there are cores.
+
+    For work that costs far more per row than moving the row, such as parsing.
+    A table with enough scan tasks, and a stream, stays as it is.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @contextmanager
 def cached(df: DataFrame):
     df.persist()

@@ -67,38 +67,44 @@ def line_columns(ids: DataFrame, start: str, seed: int, anomalies: bool = False)
     Times advance by the mean step per id plus a jitter below one step, so they
     need no running sum over all lines.
     """
-    draws = iter(range(seed, seed + 100))
+    names = (
+        "step", "ip1", "ip2", "ip3", "ip4", "verb", "uri", "number", "status", "from", "agent"
+    )
+    # Draws are columns of their own: an expression with rand() in several
+    # branches would draw again in each.
+    draws = {f"_{name}": F.rand(seed + i) for i, name in enumerate(names)}
+    drawn = ids.select("id", *[d.alias(n) for n, d in draws.items()]).withColumn(
+        "_bytes", F.randn(seed + len(names))
+    )
 
-    def rand():
-        return F.rand(next(draws))
+    def draw(name):
+        return F.col(f"_{name}")
 
     low, high = STEP_SECONDS
     mean = (low + high) // 2
-    resource = ids.withColumn("_resource", _uniform_choice(RESOURCES, rand()))
+    resource = drawn.withColumn("_resource", _uniform_choice(RESOURCES, draw("uri")))
     parts = resource.select(
         "id",
         (
             F.lit(start).cast("timestamp")
-            + F.make_dt_interval(secs=F.col("id") * mean + _between(0, mean - 1, rand()))
+            + F.make_dt_interval(secs=F.col("id") * mean + _between(0, mean - 1, draw("step")))
         ).alias("ts"),
         F.concat_ws(
             ".",
-            _between(1, 223, rand()),
-            _between(0, 255, rand()),
-            _between(0, 255, rand()),
-            _between(0, 255, rand()),
+            _between(1, 223, draw("ip1")),
+            *[_between(0, 255, draw(f"ip{i}")) for i in (2, 3, 4)],
         ).alias("clientip"),
-        _weighted_choice(ANOMALOUS_VERBS if anomalies else VERBS, rand()).alias("verb"),
+        _weighted_choice(ANOMALOUS_VERBS if anomalies else VERBS, draw("verb")).alias("verb"),
         F.when(
             F.col("_resource") == NUMBERED_RESOURCE,
-            F.concat("_resource", _between(*NUMBER_RANGE, rand()).cast("string")),
+            F.concat("_resource", _between(*NUMBER_RANGE, draw("number")).cast("string")),
         )
         .otherwise(F.col("_resource"))
         .alias("request"),
-        _weighted_choice(RESPONSES, rand()).alias("response"),
-        (F.randn(next(draws)) * BYTES_DEVIATION + BYTES_MEAN).cast("bigint").alias("bytes"),
-        _uniform_choice(REFERRERS, rand()).alias("referrer"),
-        _weighted_choice(AGENTS, rand()).alias("agent"),
+        _weighted_choice(RESPONSES, draw("status")).alias("response"),
+        (F.col("_bytes") * BYTES_DEVIATION + BYTES_MEAN).cast("bigint").alias("bytes"),
+        _uniform_choice(REFERRERS, draw("from")).alias("referrer"),
+        _weighted_choice(AGENTS, draw("agent")).alias("agent"),
     )
     line = F.format_string(
         '%s - - [%s +0000] "%s %s HTTP/1.0" %s %d "%s" "%s"',

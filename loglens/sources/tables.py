@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loglens.functions.parsing import parse_combined_log
 from loglens.operators.lookup import lookup_join
+from loglens.session import spread_small_input
 
 _VERB = """CASE event_type WHEN 'view' THEN 'GET' WHEN 'click' THEN 'GET'
  WHEN 'purchase' THEN 'POST' WHEN 'signup' THEN 'PUT' ELSE 'BADVERB' END"""
@@ -34,7 +35,7 @@ def with_log_line(events: DataFrame) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = spread_small_input(table(spark, sf_dir, "events"))
     return with_log_line(events).select("event_id", "user_id", "message")
 
 
@@ -61,6 +62,12 @@ def user_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(event_id, geoip)`` of every event, without its log line."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    return lookup_join(events, user_places(spark, sf_dir), "user_id", salt_by="event_id")
+
+
 def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed lines with ``geoip``; some ``response`` texts are not numbers."""
     located = lookup_join(
