@@ -199,6 +199,32 @@ nb_log AS (SELECT c, ln((n + 1.0) / (sum(n) OVER () + count(*) OVER ())) AS log_
     + " FROM nb)"
 )
 
+
+
+def _least_squares():
+    """Regression on the four normalised features with an intercept.
+
+    Each feature is replaced by what the features before it do not explain; the
+    coefficients on these uncorrelated columns are plain ratios.
+    """
+    columns = ["y", "x0", "x1", "x2", "x3"]
+    sql = _CLUSTERED + ", r0 AS (SELECT event_id, is_train, CAST(clusters AS DOUBLE) AS label, "
+    sql += "CAST(clusters AS DOUBLE) AS y, "
+    sql += ", ".join(f"{f} / {_NORM} AS x{i}" for i, f in enumerate(_FOUR)) + " FROM clustered)"
+    sql += ", m AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in columns)
+    sql += " FROM r0 WHERE is_train), z0 AS (SELECT event_id, is_train, label, m_y, "
+    sql += ", ".join(f"{c} - m_{c} AS {c}" for c in columns) + " FROM r0, m)"
+    for i in range(4):
+        rest = ["y"] + [f"x{j}" for j in range(i + 1, 4)]
+        sql += f", k{i} AS (SELECT " + ", ".join(
+            f"sum({c} * x{i}) / sum(x{i} * x{i}) AS k_{c}" for c in rest
+        )
+        sql += f" FROM z{i} WHERE is_train), z{i + 1} AS (SELECT event_id, is_train, label, m_y, "
+        kept = [f"{c} - k_{c} * x{i} AS {c}" for c in rest]
+        sql += ", ".join(kept) + f" FROM z{i}, k{i})"
+    return sql
+
+
 _LABEL_MEANS = """parts AS (
   SELECT vec_id, label, unnest(embedding) AS x, unnest(range(len(embedding))) AS dim
   FROM embeddings),
@@ -297,6 +323,9 @@ FROM clustered, moments WHERE NOT is_train""",
   FROM clustered WHERE is_train)
 SELECT event_id, CAST(clusters AS DOUBLE) AS label, round(a * requestIndex + b, 6) AS prediction
 FROM clustered, line WHERE NOT is_train""",
+    # What is left of y is the residual: prediction = label - residual.
+    "linreg_complex": f"""WITH {_least_squares()}
+SELECT event_id, label, round(label - y, 6) AS prediction FROM z4 WHERE NOT is_train""",
     # Two steps of 1e-15 and 1e-15/sqrt(2); the change of the gradient between
     # them is far below the rounding.
     "linreg_sgd": f"""WITH {_CLUSTERED}{_MOMENTS}
@@ -371,7 +400,16 @@ WHERE "precision" >= 0.5""",
 SELECT strftime(ts, '%Y-%m-%d--%H-%M') AS minute, {_rule(("verb",))} AS rule,
   count(*) AS support
 FROM scored JOIN (SELECT event_id, ts FROM events) USING (event_id) GROUP BY ALL""",
-    # A tree separates the verbs completely, so its precision is 1.
+    # Clusters that follow the order of one index can be separated completely by
+    # linear scores and by a tree, so the precision is 1.
+    "log_rules": f"""WITH {_VERB_CLUSTERS}
+SELECT verb, clusters, CAST(1 AS DOUBLE) AS "precision", count(*) AS support,
+  'IF verb=' || verb || ' THEN clusters=' || clusters || ' -- precision=1.0' AS rule
+FROM verb_clusters GROUP BY verb, clusters""",
+    "stream_minute_rules": f"""WITH {_PARSED}
+SELECT 'IF verb=' || verb || ' THEN clusters=' ||
+  (row_number() OVER (ORDER BY count(*) DESC, verb) - 1) || ' -- precision=1.0' AS rule
+FROM parsed GROUP BY verb""",
     "log_rules_tree": f"""WITH {_VERB_CLUSTERS}
 SELECT 'IF verb=' || verb || ' THEN clusters=' || clusters || ' -- precision=1.0' AS rule,
   count(*) AS support FROM verb_clusters GROUP BY verb, clusters""",

@@ -343,7 +343,8 @@ def linreg_with_intercept(spark, sf_dir):
 
 
 def linreg_complex(spark, sf_dir):
-    return _scores(spark, sf_dir, "linear", FOUR, normalized=True, fitIntercept=True)
+    scored = _scores(spark, sf_dir, "linear", FOUR, normalized=True, fitIntercept=True)
+    return _rounded(scored, 6, "prediction")
 
 
 def linreg_elastic_net(spark, sf_dir):
