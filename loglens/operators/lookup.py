@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
+from loglens.session import literal_rows
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows per distinct item the hot-key sketch follows, and the most keys it returns.
 _SKETCH_ITEMS = 10_000
@@ -81,7 +83,7 @@ def lookup_join(
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         schema = StructType([facts.schema[key]]).add("_pieces", IntegerType())
         # At most one row per shuffle partition, see hot_keys.
-        pieces = F.broadcast(spark.createDataFrame(hot_keys(facts, key, partitions), schema))
+        pieces = F.broadcast(literal_rows(spark, hot_keys(facts, key, partitions), schema))
         # Rows without a key match nothing, so they may go anywhere.
         spread = F.when(F.col(key).isNull(), partitions).otherwise(
             F.coalesce("_pieces", F.lit(1))

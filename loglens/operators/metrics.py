@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglens.operators.ordering import running_totals
-from loglens.session import checkpointed
+from loglens.session import checkpointed, literal_rows
 
 
 def _weight(weight):
@@ -173,9 +173,8 @@ def roc_curve(
         _rate(F.col("fp"), sums["neg"]).alias("fpr"),
         _rate(F.col("tp"), sums["pos"]).alias("tpr"),
     )
-    ends = spark.createDataFrame(
-        [(0, None, 0.0, 0.0), (sums["rows"] + 1, None, 1.0, 1.0)],
-        "point bigint, score double, fpr double, tpr double",
+    ends = literal_rows(
+        spark, [(0, None, 0.0, 0.0), (sums["rows"] + 1, None, 1.0, 1.0)], points.schema
     )
     return points.unionByName(ends)
 

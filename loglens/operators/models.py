@@ -22,11 +22,12 @@ from pyspark.ml.feature import Normalizer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from loglens.functions.once import evaluate_once
 from loglens.functions.split import TRAIN_PERCENT, is_train
 from loglens.operators.prepare import has_rows
-from loglens.session import cached, checkpointed
+from loglens.session import cached, checkpointed, literal_rows
 
 # Parameters of the models.
 CLUSTERS = 5
@@ -75,7 +76,9 @@ class Clustering:
         """One row per cluster."""
         found = self.model.clusterCenters()
         rows = sorted((self.renumber[i], [float(x) for x in c]) for i, c in enumerate(found))
-        return spark.createDataFrame(rows, "clusters int, center array<double>")
+        return literal_rows(
+            spark, rows, StructType().add("clusters", "integer").add("center", ArrayType(DoubleType()))
+        )
 
 
 def fit_kmeans(
@@ -109,8 +112,26 @@ def _distance(vector, center):
     return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
 
 
-def assign_nearest(df: DataFrame, vector: str, centers, out: str = "clusters") -> DataFrame:
-    """Nearest of k given centres ``[(number, [..]), ..]``; ties to the smaller number."""
+def assign_nearest(df: DataFrame, vector, centers, out: str = "clusters") -> DataFrame:
+    """Nearest of k given centres ``[(number, [..]), ..]``; ties to the smaller number.
+
+    ``vector`` is an array column, or a list of a few scalar columns, for which
+    the distances compile to plain arithmetic.
+    """
+    if not isinstance(vector, str):
+        distances = F.array(
+            *[
+                F.struct(
+                    sum(
+                        ((F.col(v) - x) * (F.col(v) - x) for v, x in zip(vector, center)),
+                        F.lit(0.0),
+                    ).alias("d"),
+                    F.lit(int(number)).alias("number"),
+                )
+                for number, center in centers
+            ]
+        )
+        return evaluate_once(df, out, F.array_min(distances)["number"])
     known = F.array(
         *[
             F.struct(

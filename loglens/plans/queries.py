@@ -56,8 +56,8 @@ def _indexed(spark, sf_dir, keep=("event_id",)) -> DataFrame:
 
 def clustered_rows(spark, sf_dir) -> DataFrame:
     rows = _indexed(spark, sf_dir, keep=("event_id", "timestamp"))
-    point = rows.withColumn("_point", F.array("response", "requestIndex"))
-    return written(models.assign_nearest(point, "_point", CENTRES).drop("_point"), "clustered")
+    found = models.assign_nearest(rows, ("response", "requestIndex"), CENTRES)
+    return written(found, "clustered")
 
 
 def _labelled(spark, sf_dir) -> DataFrame:
@@ -431,7 +431,7 @@ def classifier_evaluator(spark, sf_dir):
     pairs = _quality_pairs(spark, sf_dir)
     names = ("accuracy", "precision", "recall")
     row = [round(metrics.evaluate_classifier(pairs, name), 9) for name in names]
-    return spark.createDataFrame([row], ", ".join(f"{name} double" for name in names))
+    return spark.range(1).select(*[F.lit(x).alias(name) for x, name in zip(row, names)])
 
 
 def correct_predictions(spark, sf_dir):

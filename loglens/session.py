@@ -7,6 +7,8 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 
 def build_session(app_name="loglens", master=None, **settings):
@@ -16,6 +18,10 @@ def build_session(app_name="loglens", master=None, **settings):
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
@@ -45,6 +51,21 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def literal_rows(spark: SparkSession, rows, schema: StructType) -> DataFrame:
+    """A few known rows as a table that needs no Python workers."""
+    values = [
+        F.struct(
+            *[
+                F.lit(value).cast(field.dataType).alias(field.name)
+                for value, field in zip(row, schema.fields)
+            ]
+        )
+        for row in rows
+    ]
+    table = F.array(*values).cast(ArrayType(schema))
+    return spark.range(1).select(F.inline(table))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 

@@ -154,3 +154,33 @@ def test_too_many_columns_are_refused(spark, monkeypatch):
     with pytest.raises(ValueError):
         jsonflat.flat_wide(flat)
     assert jsonflat.csv_lines(flat, "id").filter(F.col("line_no") == 1).first()["line"] == "1,2,3"
+
+
+def test_text_details(spark):
+    rows, bad = flatten(
+        spark,
+        '{"n":1.50,"big":123456789012345678901234567890,"e":1E5,"s":"\\ud800x","t":true}',
+        '{"k":"1","k":"2"}',
+        '{"x":NaN}',
+        "[" * 500_000 + "]" * 500_000,
+    )
+    assert rows[0, 0][0] == {
+        "n": "1.50",
+        "big": "123456789012345678901234567890",
+        "e": "1E5",
+        "s": "�x",
+        "t": "true",
+    }
+    assert rows[1, 0] == ({"k": "2"}, 1)
+    assert bad[2] == "malformed JSON" and bad[3] == "nested too deeply to parse"
+
+
+def test_batches_are_cut_by_size(spark, monkeypatch):
+    import pyarrow as pa
+
+    texts = [json.dumps({"i": i, "pad": "x" * 100}) for i in range(50)]
+    batch = pa.record_batch([list(range(50)), texts], names=["id", "text"])
+    monkeypatch.setattr(jsonflat, "_PIECE_BYTES", 500)
+    made = list(jsonflat._flatten_batches([batch]))
+    assert len(made) > 5 and sum(b.num_rows for b in made) == 50
+    assert [i for b in made for i in b.column(0).to_pylist()] == list(range(50))
