@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import operator
 
 MALFORMED = "malformed JSON"
 TOO_DEEP = "nested too deeply to parse"
@@ -18,19 +19,22 @@ def _refuse(constant):
     raise ValueError(constant)
 
 
-# Numbers keep the text they were written with.
-_decoder = json.JSONDecoder(
-    object_pairs_hook=_Object, parse_float=str, parse_int=str, parse_constant=_refuse
-)
-_FIXED = {True: "true", False: "false"}
+_NAME = operator.itemgetter(0)
 
 
-def parse_objects(text):
+def make_decoder() -> json.JSONDecoder:
+    """Numbers keep the text they were written with."""
+    return json.JSONDecoder(
+        object_pairs_hook=_Object, parse_float=str, parse_int=str, parse_constant=_refuse
+    )
+
+
+def parse_objects(text, decoder):
     """``(objects, None)``, or ``(None, reason)`` when the text does not qualify."""
     if text is None:
         return None, MISSING
     try:
-        value = _decoder.decode(text)
+        value = decoder.decode(text)
     except RecursionError:
         return None, TOO_DEEP
     except ValueError:
@@ -43,29 +47,36 @@ def parse_objects(text):
 
 
 def flatten_object(members):
-    """``({key: text}, collisions)``; of equal keys the greatest path stays."""
+    """``({key: text}, collisions)``; of equal keys the greatest path stays.
+
+    Members are visited in the order of their paths, so a later one replaces an
+    earlier one. An own stack allows any depth the parser allows.
+    """
     found, leaves = {}, 0
-    open_values = [(members, "", "")]
-    while open_values:
-        value, prefix, path = open_values.pop()
-        in_object = isinstance(value, _Object)
-        for name, member in value if in_object else enumerate(value):
-            if in_object:
-                key, here = prefix + name, f"{path}.{name}"
+    stack = [(iter(sorted(members, key=_NAME)), True, "")]
+    while stack:
+        items, in_object, prefix = stack[-1]
+        for name, member in items:
+            kind = type(member)
+            if kind is str:
+                if in_object and member == "null":
+                    continue
+            elif kind is bool:
+                member = "true" if member else "false"
+            elif kind is _Object:
+                inherited = prefix if in_object else f"{prefix}{name + 1}"
+                stack.append((iter(sorted(member, key=_NAME)), True, inherited))
+                break
+            elif kind is list:
+                stack.append((iter(enumerate(member)), False, name if in_object else f"{prefix}{name}"))
+                break
             else:
-                key, here = f"{prefix}{name + 1}", f"{path}[{name:010d}"
-            if isinstance(member, _Object):
-                open_values.append((member, prefix if in_object else key, here))
-            elif isinstance(member, list):
-                open_values.append((member, name if in_object else f"{prefix}{name}", here))
-            elif member is None or (in_object and member == "null"):
                 continue
-            else:
-                leaves += 1
-                known = found.get(key)
-                if known is None or known[0] <= here:
-                    found[key] = (here, _FIXED[member] if member is True or member is False else member)
-    return {key: text for key, (_, text) in found.items()}, leaves - len(found)
+            found[prefix + name if in_object else f"{prefix}{name + 1}"] = member
+            leaves += 1
+        else:
+            stack.pop()
+    return found, leaves - len(found)
 
 
 def whole_characters(text: str) -> str:

@@ -9,13 +9,17 @@ Key rules: an object inside an object passes on the prefix it got and adds no
 name of its own; an array inside an object starts a new prefix, its name; inside
 an array, nested arrays add their 0-based position, objects and scalars their
 1-based position. JSON nulls and the text "null" of object members are dropped.
-Where two values get the same key the one with the greatest full path stays.
+Where two values get the same key the one with the greatest path stays, compared
+name by name and position by position.
 """
 
 from __future__ import annotations
 
+import sys
+
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -26,21 +30,26 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from loglens.functions.flatten import flatten_object, parse_objects, whole_characters
+from loglens.functions import flatten
 from loglens.functions.parsing import strip_commas
 from loglens.operators.ordering import running_totals
 
+# The batch function travels with its task, so executors need no copy of this package.
+for _module in (flatten, sys.modules[__name__]):
+    cloudpickle.register_pickle_by_value(_module)
+
 # Columns of a wide table; the default of Spark's own pivot.
 MAX_COLUMNS = 10_000
 
 
 def _flatten_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Rows ``(doc_id, text)`` to one row per object, or one with a reason."""
+    decoder = flatten.make_decoder()
     texts = batch.column(1).to_pylist()
     source, elements, reasons, collisions = [], [], [], []
     offsets, keys, values = [0], [], []
     for i, text in enumerate(texts):
-        objects, reason = parse_objects(text)
+        objects, reason = flatten.parse_objects(text, decoder)
         if reason is not None:
             source.append(i)
             elements.append(None)
@@ -50,9 +59,9 @@ def _flatten_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
             continue
         escaped = "\\ud" in text or "\\uD" in text
         for element, members in enumerate(objects):
-            flat, lost = flatten_object(members)
+            flat, lost = flatten.flatten_object(members)
             if escaped:
-                flat = {whole_characters(k): whole_characters(v) for k, v in flat.items()}
+                flat = {flatten.whole_characters(k): flatten.whole_characters(v) for k, v in flat.items()}
             source.append(i)
             elements.append(element)
             reasons.append(None)

@@ -15,7 +15,7 @@ def brute_force(value):
 
     def of_object(members, prefix, path):
         for key, member in members.items():
-            here = f"{path}.{key}"
+            here = (*path, key)
             if isinstance(member, dict):
                 of_object(member, prefix, here)
             elif isinstance(member, list):
@@ -25,7 +25,7 @@ def brute_force(value):
 
     def of_list(members, prefix, path):
         for i, member in enumerate(members):
-            here = f"{path}[{i:010d}"
+            here = (*path, i)
             if isinstance(member, list):
                 of_list(member, f"{prefix}{i}", here)
             elif isinstance(member, dict):
@@ -36,9 +36,9 @@ def brute_force(value):
     def text(scalar):
         return scalar if isinstance(scalar, str) else json.dumps(scalar)
 
-    of_object(value, "", "")
+    of_object(value, "", ())
     flat = {}
-    for key, _, value in sorted(leaves):
+    for key, _, value in sorted(leaves, key=lambda leaf: leaf[:2]):
         flat[key] = value
     return flat, len(leaves) - len(flat)
 
@@ -184,3 +184,22 @@ def test_batches_are_cut_by_size(spark, monkeypatch):
     made = list(jsonflat._flatten_batches([batch]))
     assert len(made) > 5 and sum(b.num_rows for b in made) == 50
     assert [i for b in made for i in b.column(0).to_pylist()] == list(range(50))
+
+
+def test_batch_function_needs_no_package_on_executors(tmp_path):
+    import subprocess
+    import sys
+
+    import pyarrow as pa
+    from pyspark import cloudpickle
+
+    batch = pa.record_batch([[1], ['{"a":[1]}']], names=["id", "text"])
+    (tmp_path / "f.bin").write_bytes(cloudpickle.dumps((jsonflat._flatten_batches, batch)))
+    code = (
+        "import sys, pickle; f, b = pickle.load(open('f.bin', 'rb'));"
+        "print(next(f([b])).column(3).to_pylist(), any(m.startswith('loglens') for m in sys.modules))"
+    )
+    made = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path, env={}, capture_output=True, text=True, check=True
+    )
+    assert made.stdout.strip() == "[[('a1', '1')]] False"
