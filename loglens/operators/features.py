@@ -17,7 +17,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.operators.lookup import BROADCAST_BYTES, lookup_join
+from loglens.operators.lookup import BROADCAST_BYTES, lookup_join, row_bytes
 from loglens.operators.ordering import running_totals
 from loglens.session import checkpointed
 
@@ -57,7 +57,9 @@ def category_frequency(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def index_table(counts: DataFrame, column: str, out: str, single_task_rows=None) -> DataFrame:
+def index_table(
+    counts: DataFrame, column: str, out: str, single_task_rows=None, rows: int | None = None
+) -> DataFrame:
     """``(column, n)`` to ``(column, n, out)``: 0.0 for the most frequent value.
 
     Ties go by the value. ``counts`` should be a stored table: it is read more
@@ -67,6 +69,7 @@ def index_table(counts: DataFrame, column: str, out: str, single_task_rows=None)
         counts,
         [F.desc("n"), F.asc(column)],
         {out: F.lit(1)},
+        rows=rows,
         single_task_rows=single_task_rows,
     )
     return ranked.withColumn(out, (F.col(out) - 1).cast("double"))
@@ -90,28 +93,38 @@ def string_index(
     return lookup_join(df, labels, column, salt_by=row_id, broadcast_bytes=broadcast_bytes)
 
 
-def frequencies(df: DataFrame, columns) -> DataFrame:
+def frequencies(df: DataFrame, columns, weight: str | None = None) -> DataFrame:
     """``(column, value, n)`` of several text columns in one pass over ``df``."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
     )
+    n = F.lit(1) if weight is None else F.col(weight)
     return (
-        df.select(F.inline(pairs))
+        df.select(n.alias("_n"), F.inline(pairs))
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("_n").alias("n"))
     )
 
 
-def index_columns(df: DataFrame, columns, row_id: str) -> DataFrame:
-    """Add the index column of each of ``columns``; one counting pass for all."""
+def index_columns(df: DataFrame, columns, row_id, weight: str | None = None) -> DataFrame:
+    """Add the index column of each of ``columns``.
+
+    One pass counts the values of all of them, one small job sizes the tables.
+    """
     if not columns:
         return df
-    counts = checkpointed(frequencies(df, columns))
+    counts = checkpointed(frequencies(df, columns, weight))
+    sized = counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(counts)).alias("bytes")
+    )
+    # One row per indexed column.
+    sizes = {r["column"]: (r["rows"], r["bytes"]) for r in sized.collect()}
     for column in columns:
+        rows, size = sizes.get(column, (0, 0))
         own = counts.filter(F.col("column") == column).select(F.col("value").alias(column), "n")
-        labels = index_table(own, column, INDEX_COLUMNS[column]).drop("n")
-        df = lookup_join(df, labels, column, salt_by=row_id)
+        labels = index_table(own, column, INDEX_COLUMNS[column], rows=rows).drop("n")
+        df = lookup_join(df, labels, column, salt_by=row_id, dim_bytes=size)
     return df
 
 

@@ -27,16 +27,16 @@ def _value_bytes(column: Column, spark_type) -> Column:
     return F.lit(16).cast("bigint")
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes held by the rows of ``df``: one row per task reaches the driver."""
+def row_bytes(df: DataFrame) -> Column:
     row = F.lit(32).cast("bigint")
     for field in df.schema.fields:
         row = row + _value_bytes(F.col(f"`{field.name}`"), field.dataType)
-    return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).first()["bytes"]
+    return row
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return measured_bytes(df) <= limit
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes held by the rows of ``df``: one number reaches the driver."""
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
 def hot_keys(facts: DataFrame, key: str, partitions: int):
@@ -67,10 +67,12 @@ def lookup_join(
     residual=None,
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
+    dim_bytes: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``dim`` on ``key`` (plus ``residual(facts, dim)``).
 
-    * ``dim`` measured within ``broadcast_bytes``: broadcast, facts do not move.
+    * ``dim`` measured within ``broadcast_bytes`` (here, or by the caller as
+      ``dim_bytes``): broadcast, facts do not move.
     * otherwise a shuffled join in which the rows of each hot key are spread
       over several pieces by a hash of the unique column(s) ``salt_by``, and the
       matching ``dim`` rows are repeated once per piece.
@@ -78,7 +80,9 @@ def lookup_join(
     spark = facts.sparkSession
     columns = facts.columns + [c for c in dim.columns if c != key]
     ids = [salt_by] if isinstance(salt_by, str) else list(salt_by)
-    small = fits_broadcast(dim, broadcast_bytes)
+    if dim_bytes is None:
+        dim_bytes = measured_bytes(dim)
+    small = dim_bytes <= broadcast_bytes
     if not small:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         schema = StructType([facts.schema[key]]).add("_pieces", IntegerType())

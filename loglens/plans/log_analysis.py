@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglens.functions.split import TRAIN_PERCENT, is_train
-from loglens.operators.features import INDEX_COLUMNS, PRESETS, index_table
-from loglens.operators.lookup import lookup_join
+from loglens.operators.features import PRESETS, index_columns
 from loglens.operators.metrics import area_under_roc, scalar_metrics
 from loglens.operators.models import (
     CLUSTERS,
@@ -71,12 +70,7 @@ def combinations(
 def index_combinations(combos: DataFrame, preset: str) -> DataFrame:
     """Add the index columns; frequencies are sums of the weights."""
     unique = [c for c in combos.columns if c != "weight"]
-    indexed = combos
-    for column in PRESETS[preset].indexed:
-        counts = checkpointed(combos.groupBy(column).agg(F.sum("weight").alias("n")))
-        labels = index_table(counts, column, INDEX_COLUMNS[column]).drop("n")
-        indexed = lookup_join(indexed, labels, column, salt_by=unique)
-    return indexed
+    return index_columns(combos, PRESETS[preset].indexed, unique, weight="weight")
 
 
 def analyse_combinations(
