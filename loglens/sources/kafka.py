@@ -28,13 +28,18 @@ def kafka_source_options(servers: str, topics, group: str | None = None, partiti
     return {**options, **extra}
 
 
-def key_value_text(messages: DataFrame) -> DataFrame:
-    return messages.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+def key_value_text(messages: DataFrame, position: bool = False) -> DataFrame:
+    """Key and value as text; ``position`` adds ``row_id``, unique per message."""
+    columns = ["CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value"]
+    if position:
+        columns.append("concat_ws('-', topic, partition, offset) AS row_id")
+    return messages.selectExpr(*columns)
 
 
 def kafka_source(spark: SparkSession, servers: str, topics=DEFAULT_TOPIC, **settings) -> DataFrame:
+    """``(key, value, row_id)`` of every message; ``row_id`` is stable on replay."""
     options = kafka_source_options(servers, topics, **settings)
-    return key_value_text(spark.readStream.format("kafka").options(**options).load())
+    return key_value_text(spark.readStream.format("kafka").options(**options).load(), position=True)
 
 
 def kafka_payload(df: DataFrame, key: str | None = None) -> DataFrame:

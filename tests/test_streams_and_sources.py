@@ -88,6 +88,8 @@ def test_kafka_options(spark):
     assert row["key"] == "1" and json.loads(row["value"]) == {"k": 1, "v": "x"}
     raw = spark.createDataFrame([(b"k", b"v")], "key binary, value binary")
     assert tuple(kafka.key_value_text(raw).first()) == ("k", "v")
+    placed = raw.selectExpr("*", "'t' AS topic", "3 AS partition", "42L AS offset")
+    assert tuple(kafka.key_value_text(placed, position=True).first()) == ("k", "v", "t-3-42")
     with pytest.raises(AnalysisException):
         kafka.kafka_source(spark, "h:9092")
 
