@@ -53,7 +53,7 @@ def unpacked_rows(rows: DataFrame, names) -> DataFrame:
     return rows.select(*[f"row._c{i}" for i in range(len(names))]).toDF(*names)
 
 
-def text_slices(batch: pa.RecordBatch, column: str):
+def text_slices(batch: pa.RecordBatch, column: str, limit=SLICE_BYTES):
     """Zero-copy slices of a batch with a bounded number of text bytes.
 
     A single longer text is a slice of its own.
@@ -64,7 +64,7 @@ def text_slices(batch: pa.RecordBatch, column: str):
     sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
-        if i > start and held + size > SLICE_BYTES:
+        if i > start and held + size > limit:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += int(size)

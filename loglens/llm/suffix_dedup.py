@@ -51,6 +51,8 @@ REACH = LENGTH - GRAM + 1
 # Contexts of one anchor that a block takes, and bytes of a block.
 GROUP = 4_000
 BLOCK_BYTES = 1 << 20
+# Text bytes that a step holds; its arrays take about a hundred times that.
+SLICE_BYTES = 1 << 20
 BROADCAST_BYTES = 32 * 1024 * 1024
 SEPARATOR = b"\xff"
 PLACE_BITS = np.uint64(28)
@@ -154,7 +156,7 @@ def _lists(owner, rows, *columns):
 def _survey(salt):
     def run(batches):
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_BYTES):
                 texts = [t.encode() for t in texts_of(part, "text")]
                 keys = [class_key(t, salt) for t in texts]
                 owner, hashed, place, low, high, digest = anchors(texts)
@@ -329,7 +331,7 @@ def _texts(salt):
     def run(batches):
         for batch in batches:
             kept = [i for i, n in enumerate(batch.schema.names) if n != "text"]
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_BYTES):
                 texts = [t.encode() for t in texts_of(part, "text")]
                 yield pa.RecordBatch.from_arrays(
                     [
