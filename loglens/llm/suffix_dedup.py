@@ -550,10 +550,6 @@ class RepeatedBytes:
         spans = self.spans()
         whole = self.classes.filter("rows > 1").select("node", F.lit(True).alias("whole"))
         found = written(spans.join(whole, "node", "full"), "suffix-spans")
-        held = found.agg(
-            F.coalesce(F.sum(F.coalesce(F.size("spans"), F.lit(0)) * 16 + 48), F.lit(0)).alias("b")
-        ).first()["b"]
-        found = F.broadcast(found) if held <= BROADCAST_BYTES else found
         rows = self._packed_texts(self.rows).join(found, "node", "left")
         kept = [f for f in self.rows.schema.fields if f.name != "text"]
         order = ["node", *[f.name for f in kept], "packed", "n_bytes", "spans", "whole"]
