@@ -68,10 +68,11 @@ class WordTable:
 
     def learn(self, words):
         """Segments the words that are not known; returns those too long to keep."""
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        words = dict.fromkeys(words)
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > TABLE_WORDS:
             self.known.clear()
-            new = list(dict.fromkeys(words))
+            new = list(words)
         found = dict(zip(new, self._segment(new)))
         self.known.update(found)
         long = [w for w in new if len(w) > KEPT_CHARS]
