@@ -28,7 +28,7 @@ COMBINED_PATTERN = (
     r"^(\S+) (\S+) (\S+) \[([^\]]+)\] "
     r'"(?:(\w+) (\S+)(?: HTTP/([0-9.]+))?|(.*?))" '
     r"(\d+) (?:(\d+)|-) "
-    rf"({_QUOTED}) ({_QUOTED})$"
+    rf"({_QUOTED}) ({_QUOTED})\r?\z"
 )
 LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 MINUTE_FORMAT = "yyyy-MM-dd--HH-mm"

@@ -145,16 +145,35 @@ def _cell(key: Column) -> Column:
 def flat_wide(flat: DataFrame, keys=None) -> DataFrame:
     """One column per key in sorted order, "" where a row lacks it, commas removed.
 
-    Columns need names on the driver. More keys than ``MAX_COLUMNS`` are refused;
-    :func:`csv_lines` takes any number.
+    A carried column whose name is also a key, in any case, gets underscores put before
+    it. Columns need names on the driver. More keys than ``MAX_COLUMNS`` are
+    refused; :func:`csv_lines` takes any number.
     """
+    keys = wide_keys(flat, keys)
+    taken = {key.lower() for key in keys}
+    carried = []
+    for name in flat.columns:
+        if name not in ("flat", "collisions"):
+            new = name
+            while new.lower() in taken:
+                new = f"_{new}"
+            carried.append(F.col(name).alias(new))
+    return flat.select(*carried, *cells(keys))
+
+
+def cells(keys):
+    """One output column per key."""
+    return [_cell(F.lit(key)).alias(key) for key in keys]
+
+
+def wide_keys(flat: DataFrame, keys=None):
+    """The given keys, or the sorted union of all keys if that many can be columns."""
     if keys is None:
         names = flat.select(F.explode(F.map_keys("flat")).alias("key")).distinct()
         keys = sorted(row["key"] for row in names.take(MAX_COLUMNS + 1))
     if len(keys) > MAX_COLUMNS:
         raise ValueError(f"more than {MAX_COLUMNS} keys: use csv_lines")
-    others = [c for c in flat.columns if c not in ("flat", "collisions")]
-    return flat.select(*others, *[_cell(F.lit(key)).alias(key) for key in keys])
+    return keys
 
 
 def csv_lines(flat: DataFrame, doc_id: str, single_task_rows=None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglens.functions.parsing import text_to_double
@@ -24,6 +24,16 @@ def drop_null_rows(df: DataFrame, columns=FEATURE_COLUMNS) -> DataFrame:
     return df.na.drop(how="any", subset=list(columns))
 
 
+def is_complete(df: DataFrame, columns=FEATURE_COLUMNS) -> Column:
+    """True for the rows that :func:`drop_null_rows` keeps: no NULL, no NaN."""
+    there = F.lit(True)
+    for name in columns:
+        there &= F.col(name).isNotNull()
+        if df.schema[name].dataType.typeName() in ("double", "float"):
+            there &= ~F.isnan(name)
+    return there
+
+
 def feature_rows(logs: DataFrame, keep=()) -> DataFrame:
     return drop_null_rows(response_to_double(project_log_features(logs, keep)))
 

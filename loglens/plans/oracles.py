@@ -448,5 +448,9 @@ FROM records r LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n ON city
     "stream_ingest": f"""WITH {_PARSED}
 SELECT CASE WHEN event_type <> 'error' THEN verb END AS verb,
   CASE WHEN event_type = 'error' THEN 'malformed JSON' END AS reason, count(*) AS n
+FROM parsed GROUP BY ALL""",
+    "stream_ingest_twice": f"""WITH {_PARSED}
+SELECT CASE WHEN event_type <> 'error' THEN verb END AS verb,
+  CASE WHEN event_type = 'error' THEN 'malformed JSON' END AS reason, 2 * count(*) AS n
 FROM parsed GROUP BY ALL""",
 }

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglens.functions.parsing import minute_stamp
-from loglens.operators.jsonflat import flat_wide, flatten_json
+from loglens.operators.jsonflat import cells, flatten_json, wide_keys
 from loglens.session import written
 
 
@@ -41,11 +41,12 @@ def rule_text_sink(rules: DataFrame, path: str, single_file: bool = False) -> No
 
 
 def union_header_csv(flat: DataFrame, path: str, keys=None) -> None:
-    """Flattened documents as CSV whose header is the union of all keys."""
-    others = [c for c in flat.columns if c not in ("flat", "collisions")]
-    flat_wide(flat, keys).drop(*others).write.mode("overwrite").option("header", True).option(
-        "emptyValue", ""
-    ).csv(path)
+    """Flattened documents as CSV whose header is the union of all keys.
+
+    Only members are written, also ones named like a carried column.
+    """
+    rows = flat.select(*cells(wide_keys(flat, keys)))
+    rows.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
 def json_to_csv(df: DataFrame, doc_id: str, text: str, path: str) -> DataFrame:

@@ -61,6 +61,18 @@ def _between(low: int, high: int, draw: Column) -> Column:
     return (F.floor(draw * (high - low + 1)) + low).cast("bigint")
 
 
+def _draw(seed: int, name: str) -> Column:
+    """Uniform in [0, 1): the upper 53 bits of a hash of seed, name and id."""
+    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(name), F.col("id")), 11)
+    return bits / F.lit(float(1 << 53))
+
+
+def _normal_draw(seed: int, name: str) -> Column:
+    """Standard normal from two uniform draws."""
+    radius = F.sqrt(-2 * F.log(1 - _draw(seed, f"{name} radius")))
+    return radius * F.cos(2 * F.pi() * _draw(seed, f"{name} angle"))
+
+
 def line_columns(ids: DataFrame, start: str, seed: int, anomalies: bool = False) -> DataFrame:
     """Turn rows with ``id`` into rows with the parts of a line and ``message``.
 
@@ -70,11 +82,10 @@ def line_columns(ids: DataFrame, start: str, seed: int, anomalies: bool = False)
     names = (
         "step", "ip1", "ip2", "ip3", "ip4", "verb", "uri", "number", "status", "from", "agent"
     )
-    # Draws are columns of their own: an expression with rand() in several
-    # branches would draw again in each.
-    draws = {f"_{name}": F.rand(seed + i) for i, name in enumerate(names)}
+    # Draws depend on seed, name and id only, so partitions do not change a line.
+    draws = {f"_{name}": _draw(seed, name) for name in names}
     drawn = ids.select("id", *[d.alias(n) for n, d in draws.items()]).withColumn(
-        "_bytes", F.randn(seed + len(names))
+        "_bytes", _normal_draw(seed, "bytes")
     )
 
     def draw(name):

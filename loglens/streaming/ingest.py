@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from loglens.schema import LOG_SCHEMA
 from loglens.session import cached
@@ -13,7 +15,8 @@ from loglens.sources.logs import bad_records, decode_messages, good_records
 
 # Fixed value: time between micro-batches.
 BATCH_INTERVAL = "2 seconds"
-# Partition column of the tables that batches write.
+# Partition columns of the tables that batches write.
+QUERY_FIELD = StructField("query_id", StringType())
 BATCH_FIELD = StructField("batch_id", LongType())
 
 
@@ -21,9 +24,17 @@ def trigger_options(available_now: bool = False, interval: str = BATCH_INTERVAL)
     return {"availableNow": True} if available_now else {"processingTime": interval}
 
 
-def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """A repeated batch replaces what its first attempt wrote."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def query_id(spark, checkpoint: str) -> str:
+    """The id that Spark gave the query when it made its checkpoint.
+
+    Batch numbers start anew with every checkpoint; the id tells them apart.
+    """
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
+def replace_batch(df: DataFrame, path: str, query: str, batch_id: int) -> None:
+    """A repeated batch replaces what its first attempt wrote, and nothing else."""
+    df.write.mode("overwrite").parquet(f"{path}/query_id={query}/batch_id={batch_id}")
 
 
 def ingest_logs(
@@ -43,9 +54,10 @@ def ingest_logs(
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
+        query = query_id(batch.sparkSession, checkpoint)
         with cached(decode_messages(batch, schema)) as decoded:
-            _replace_batch(good_records(decoded, schema, keep), table_path, batch_id)
-            _replace_batch(bad_records(decoded, keep), quarantine_path, batch_id)
+            replace_batch(good_records(decoded, schema, keep), table_path, query, batch_id)
+            replace_batch(bad_records(decoded, keep), quarantine_path, query, batch_id)
 
     return (
         messages.writeStream.foreachBatch(append)
@@ -56,7 +68,7 @@ def ingest_logs(
 
 
 def read_ingested(spark, path: str, schema: StructType = LOG_SCHEMA, keep_fields=()) -> DataFrame:
-    full = StructType([*keep_fields, *schema.fields, BATCH_FIELD])
+    full = StructType([*keep_fields, *schema.fields, QUERY_FIELD, BATCH_FIELD])
     return spark.read.schema(full).parquet(path)
 
 

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from loglens.streaming.ingest import BATCH_FIELD, BATCH_INTERVAL, event_time, trigger_options
+from loglens.streaming.ingest import (
+    BATCH_FIELD,
+    BATCH_INTERVAL,
+    QUERY_FIELD,
+    event_time,
+    query_id,
+    replace_batch,
+    trigger_options,
+)
 
 # Window length and slide.
 WINDOW = "10 seconds"
@@ -44,7 +52,7 @@ def write_window_updates(
     """Write the windows each batch changed; :func:`latest_windows` reads them."""
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        replace_batch(batch, path, query_id(batch.sparkSession, checkpoint), batch_id)
 
     return (
         counts.writeStream.outputMode("update")
@@ -56,7 +64,9 @@ def write_window_updates(
 
 
 def latest_windows(spark, path: str, schema, by=()) -> DataFrame:
-    """The last written count of every window."""
-    updates = spark.read.schema(StructType([*schema.fields, BATCH_FIELD])).parquet(path)
+    """The last written count of every window; counts of several queries add up."""
+    fields = StructType([*schema.fields, QUERY_FIELD, BATCH_FIELD])
+    updates = spark.read.schema(fields).parquet(path)
     keys = ["window_start", "window_end", *by]
-    return updates.groupBy(*keys).agg(F.max_by("n", "batch_id").alias("n"))
+    of_query = updates.groupBy("query_id", *keys).agg(F.max_by("n", "batch_id").alias("n"))
+    return of_query.groupBy(*keys).agg(F.sum("n").alias("n"))

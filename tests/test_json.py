@@ -203,3 +203,17 @@ def test_batch_function_needs_no_package_on_executors(tmp_path):
         [sys.executable, "-c", code], cwd=tmp_path, env={}, capture_output=True, text=True, check=True
     )
     assert made.stdout.strip() == "[[('a1', '1')]] False"
+
+
+def test_members_named_like_carried_columns_stay(spark, tmp_path):
+    rows = [("k1", '{"element":"x","id":"7","b":"y"}'), ("k2", '{"ID2":"z","b":"w"}')]
+    df = spark.createDataFrame(rows, "id string, doc string")
+    path = str(tmp_path / "csv")
+    json_to_csv(df, "id", "doc", path)
+    back = spark.read.option("header", True).csv(path)
+    assert sorted(back.columns) == ["ID2", "b", "element", "id"]
+    found = {tuple(r[c] for c in ("ID2", "b", "element", "id")) for r in back.collect()}
+    assert found == {(None, "y", "x", "7"), ("z", "w", None, None)}
+    flat, _ = jsonflat.flatten_json(df, "id", "doc")
+    wide = jsonflat.flat_wide(flat)
+    assert wide.columns == ["_id", "_element", "ID2", "b", "element", "id"]

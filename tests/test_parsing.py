@@ -107,3 +107,9 @@ def test_split_is_disjoint_complete_and_stable(spark):
 def test_schema_has_the_nested_place():
     assert len(LOG_SCHEMA.fields) == 18
     assert len(LOG_SCHEMA["geoip"].dataType.fields) == 15
+
+
+def test_carriage_return_is_not_part_of_the_agent(spark):
+    line = '1.2.3.4 - - [04/Jan/2024:05:13:42 +0000] "GET /x HTTP/1.0" 200 5 "-" "agent"\r'
+    row = parsing.parse_combined_log(spark.createDataFrame([(line,)], "message string")).first()
+    assert row["parsed"] and row["agent"] == '"agent"'

@@ -147,7 +147,7 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1,)], "x int")
     for _ in range(2):
-        ingest._replace_batch(df, path, 7)
+        ingest.replace_batch(df, path, "query", 7)
     assert spark.read.parquet(path).count() == 1
 
 
@@ -241,3 +241,20 @@ def test_presets_and_extras(spark):
     assert features.request_vectors(df, size=4).first()["requestWords"].size == 4
     scaled = features.standard_scale(made).collect()
     assert sum(r["featuresScaled"][0] for r in scaled) == pytest.approx(0)
+
+
+def test_second_checkpoint_keeps_history(spark, tmp_path):
+    source, good, bad = (str(tmp_path / n) for n in ("in", "good", "bad"))
+    spark.createDataFrame([("{bad",), ('{"verb":"GET"}',)], "value string").write.text(source)
+    messages = spark.readStream.text(source)
+    for state in ("one", "two"):
+        query = ingest.ingest_logs(messages, good, bad, str(tmp_path / state), available_now=True)
+        query.awaitTermination()
+    assert ingest.read_ingested(spark, good).count() == 2
+    assert spark.read.parquet(bad).count() == 2
+
+
+def test_seed_fixes_lines_whatever_the_partitions(spark):
+    two = synthetic.synthetic_access_log(spark, 500, seed=3, partitions=2)
+    eight = synthetic.synthetic_access_log(spark, 500, seed=3, partitions=8)
+    assert two.exceptAll(eight).isEmpty()
