@@ -117,3 +117,6 @@ def components(edges: DataFrame, max_rounds=64) -> DataFrame:
         if settled:
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+ship(__name__)
