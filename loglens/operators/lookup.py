@@ -9,9 +9,10 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 from loglens.session import literal_rows
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Rows per distinct item the hot-key sketch follows, and the most keys it returns.
-_SKETCH_ITEMS = 10_000
-_MAX_HOT_KEYS = 1_000
+# Items that the hot-key sketch follows: so many for each partition, within these
+# bounds, the upper one being the most that the sketch function takes.
+_ITEMS_PER_PARTITION = 10
+_SKETCH_ITEMS = (10_000, 1_000_000)
 
 
 def _value_bytes(column: Column, spark_type) -> Column:
@@ -42,14 +43,16 @@ def measured_bytes(df: DataFrame) -> int:
 def hot_keys(facts: DataFrame, key: str, partitions: int):
     """Keys with more rows than an average shuffle partition, and their pieces.
 
-    One pass with a fixed-size frequent-items sketch. The number of pieces of a
-    key is its row count in units of an average partition, so all pieces
-    together are at most twice the number of partitions.
+    One pass with a frequent-items sketch whose size follows the number of
+    partitions, as fewer keys than partitions can be above the average. The number
+    of pieces of a key is its row count in units of an average partition, so all
+    pieces together are at most twice the number of partitions.
     """
-    found = min(partitions, _MAX_HOT_KEYS)
+    least, most = _SKETCH_ITEMS
+    followed = min(most, max(least, _ITEMS_PER_PARTITION * partitions))
     row = facts.agg(
         F.count(F.lit(1)).alias("total"),
-        F.expr(f"approx_top_k(`{key}`, {found}, {max(_SKETCH_ITEMS, found)})").alias("top"),
+        F.expr(f"approx_top_k(`{key}`, {min(partitions, followed)}, {followed})").alias("top"),
     ).first()
     share = max(row["total"] / partitions, 1.0)
     return [

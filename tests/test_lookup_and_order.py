@@ -26,6 +26,14 @@ def test_hot_keys(spark):
     assert 3 <= found[7] <= 4
 
 
+def test_hot_keys_may_be_as_many_as_partitions(spark):
+    # 1,500 keys of four rows and 3,000 of one; the average of 3,000 partitions is three.
+    facts = spark.range(9_000).select(
+        F.when(F.col("id") < 6_000, F.col("id") % 1_500).otherwise(F.col("id")).alias("key")
+    )
+    assert dict(hot_keys(facts, "key", 3_000)) == dict.fromkeys(range(1_500), 2)
+
+
 def test_salted_join_equals_plain_join(spark):
     facts, dim = _facts(spark), _dim(spark)
     plain = facts.join(dim, "key", "left").select("row_id", "key", "name")
