@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from loglens.operators.models import CLUSTERS
 from loglens.operators.prepare import feature_rows
 from loglens.plans.log_analysis import SOURCE_COLUMNS, analyse_combinations, combinations
+from loglens.session import cached
 from loglens.sinks.files import cluster_csv_sink, rule_text_sink, with_minute
 from loglens.streaming.ingest import BATCH_INTERVAL, trigger_options
 
@@ -45,11 +46,13 @@ def minute_rules(
         analysis = analyse_combinations(combos, preset, k)
         if analysis.skipped:
             return
-        rules = with_minute(analysis.rules(antecedents))
-        if minute is not None:
-            rules = rules.withColumn("minute", F.lit(minute))
-        cluster_csv_sink(rules, csv_path, (*antecedents, "clusters", "precision"))
-        rule_text_sink(rules, rule_path)
+        # The clock is read once, so both outputs of a batch name the same minute.
+        now = minute
+        if minute is None:
+            now = with_minute(combos.sparkSession.range(1)).first()["minute"]
+        with cached(analysis.rules(antecedents).withColumn("minute", F.lit(now))) as rules:
+            cluster_csv_sink(rules, csv_path, (*antecedents, "clusters", "precision"))
+            rule_text_sink(rules, rule_path)
 
     return (
         stream_combinations(logs, row_id, preset)

@@ -220,6 +220,20 @@ def test_minute_rules_follow_the_stream(spark, tmp_path):
     assert run("m2") == first | second
 
 
+def test_both_outputs_of_a_batch_name_one_minute(spark, tmp_path):
+    source = tmp_path / "in"
+    outputs = tmp_path / "csv", tmp_path / "text"
+    verbs = ["GET"] * 30 + ["PUT"] * 20
+    messages = [json.dumps({**RECORD, "verb": v, "message": f"m{i}"}) for i, v in enumerate(verbs)]
+    _write_messages(source, "1.txt", messages)
+    good = logs.good_records(logs.decode_messages(logs.message_file_stream(spark, str(source))))
+    minute_rules.minute_rules(
+        good, "message", *map(str, outputs), str(tmp_path / "state"), available_now=True
+    ).awaitTermination()
+    minutes = [[p.name for p in folder.glob("minute=*")] for folder in outputs]
+    assert len(minutes[0]) == 1 and minutes[0] == minutes[1]
+
+
 def test_shared_folder(spark):
     folder = session.shared_dir(spark)
     assert session.new_path(spark, "x").startswith(folder)
