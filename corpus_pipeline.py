@@ -42,7 +42,8 @@ def packing_stage(spark, docs: DataFrame, sf_dir) -> DataFrame:
     """Token pieces with their places in sequences."""
     import public_tokenizers
 
-    return packing.packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed_documents(docs, path, encode_special_tokens=False)
 
 
 STAGES = [

@@ -16,6 +16,7 @@ matter.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -37,7 +38,8 @@ def load_tokenizer(path: str):
 
     The file's own merges are ranks in the order of their identifiers; the ranked
     encoder gives the same identifiers and is several times faster than the
-    library that the file belongs to (tests compare both).
+    library that the file belongs to (tests compare both). Added tokens of the file
+    have no rank, see :func:`load_encoder`.
     """
     cache = worker_cache()
     if ("bpe", path) not in cache:
@@ -46,16 +48,17 @@ def load_tokenizer(path: str):
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            tokenizer = json.load(file)
+        model = tokenizer["model"]
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in printable]
         byte_of = {chr(b): b for b in printable}
         byte_of |= {chr(256 + i): b for i, b in enumerate(hidden)}
-        special = "<|endoftext|>"
+        added = {token["content"] for token in tokenizer["added_tokens"]}
         ranks = {
             bytes(byte_of[c] for c in token): i
             for token, i in model["vocab"].items()
-            if token != special
+            if token not in added
         }
         cache["bpe", path] = tiktoken.Encoding(
             "own",
@@ -68,15 +71,54 @@ def load_tokenizer(path: str):
     return cache["bpe", path]
 
 
+def load_encoder(path: str, encode_special_tokens: bool):
+    """Identifiers of a text as the library gives them, as a function.
+
+    The library finds added tokens of the file inside plain text, and encodes what
+    stands between them; with ``encode_special_tokens`` (its name there) it reads
+    their letters as text.
+    """
+    plain = load_tokenizer(path).encode_ordinary
+    cache = worker_cache()
+    if ("added", path) not in cache:
+        import json
+
+        with open(path, encoding="utf-8") as file:
+            tokens = json.load(file)["added_tokens"]
+        # Other kinds take neighbouring characters with them.
+        for token in tokens:
+            if not token["special"] or any(
+                token[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")
+            ):
+                raise ValueError(f"added token {token['content']!r} is not found literally")
+        cache["added", path] = {token["content"]: token["id"] for token in tokens}
+    added = cache["added", path]
+    if encode_special_tokens or not added:
+        return plain
+    # The longest of those that begin at one place.
+    literals = sorted(added, key=len, reverse=True)
+    parts_of = re.compile(f"({'|'.join(map(re.escape, literals))})").split
+
+    def encode(text):
+        parts = parts_of(text)
+        ids = plain(parts[0])
+        for token, after in zip(parts[1::2], parts[2::2]):
+            ids.append(added[token])
+            ids += plain(after)
+        return ids
+
+    return encode
+
+
 def cut(n: int, capacity=CAPACITY):
     """``(start, length)`` of the pieces of ``n`` tokens; the first may be shorter."""
     first = n % capacity or min(n, capacity)
     return [(0, first), *[(s, capacity) for s in range(first, n, capacity)]]
 
 
-def _piece_batches(path, capacity):
+def _piece_batches(path, capacity, encode_special_tokens):
     def run(batches):
-        encode = load_tokenizer(path).encode_ordinary
+        encode = load_encoder(path, encode_special_tokens)
         for batch in batches:
             for part in text_slices(batch, "text"):
                 at, number, start, length, crc = [], [], [], [], []
@@ -212,26 +254,36 @@ def pack_pieces(pieces: DataFrame, capacity=CAPACITY, partition_pieces=PARTITION
     )
 
 
-def document_pieces(docs: DataFrame, tokenizer_path: str, doc_id="doc_id", text="text"):
+def document_pieces(
+    docs: DataFrame, tokenizer_path: str, doc_id="doc_id", text="text", encode_special_tokens=True
+):
     """``(doc_id, piece, start, length, ids_crc32)``."""
     rows = pick(docs, doc_id=doc_id, text=text)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        _piece_batches(tokenizer_path, CAPACITY),
+        _piece_batches(tokenizer_path, CAPACITY, encode_special_tokens),
         f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint",
     )
 
 
-def packed_documents(docs: DataFrame, tokenizer_path: str, doc_id="doc_id", text="text"):
-    """Pieces with ``sequence_id`` and ``offset``."""
-    return pack_pieces(written(document_pieces(docs, tokenizer_path, doc_id, text), "pieces"))
+def packed_documents(
+    docs: DataFrame, tokenizer_path: str, doc_id="doc_id", text="text", encode_special_tokens=True
+):
+    """Pieces with ``sequence_id`` and ``offset``.
+
+    The registered queries pass ``encode_special_tokens=False``, as the library has it
+    unless told otherwise.
+    """
+    pieces = document_pieces(docs, tokenizer_path, doc_id, text, encode_special_tokens)
+    return pack_pieces(written(pieces, "pieces"))
 
 
 def op5_query(spark, sf_dir) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return packed_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packed_documents(docs, path, encode_special_tokens=False)
 
 
 ship(__name__)

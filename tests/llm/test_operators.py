@@ -11,6 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from corpus_pipeline import packing_stage
 from loglens.llm import (
     exact_dedup,
     near_vectors,
@@ -218,6 +219,24 @@ def test_packing(docs):
     assert packing.packed_documents(docs.limit(0), path).count() == 0
 
 
+def test_added_tokens_inside_texts(spark, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"{end}\n\n x  {end}  ", "<|endoftext", f"<{end}>", "word " * 2000 + end]
+    expected = []
+    for i, text in enumerate(texts):
+        ids = [*library.encode(text, add_special_tokens=False).ids, packing.END_TOKEN]
+        for k, (s, n) in enumerate(packing.cut(len(ids))):
+            expected.append((i, k, s, n, zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes())))
+    assert library.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    for rows in (packing.op5_query(spark, tmp_path), packing_stage(spark, table, tmp_path)):
+        found = rows.select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+        assert _sorted(found) == _sorted(expected)
+
+
 def _check_sequences(rows):
     sequences = defaultdict(list)
     for r in rows:
