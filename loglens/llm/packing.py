@@ -5,8 +5,10 @@ number of pieces are packed by best-fit decreasing; dual-feasible functions give
 a lower bound on the bins that each partition needs. A partition whose count
 meets its bound is certified and final. In the others, full bins stay, and the
 pieces of all bins with gaps are dealt out again among fewer partitions and
-packed anew, until all are certified or one partition is left. Pieces are rows of
-a few numbers; texts never move.
+packed anew, until all are certified, the bins with gaps meet the bound of all their
+pieces, or one partition is left. A round that lowers no number of bins is dropped,
+and the next one has half its partitions; so the rounds come to an end, and none
+makes the packing worse. Pieces are rows of a few numbers; texts never move.
 
 Defined results: a null text is empty and has the end token only; every row is
 packed, also rows with equal or null ids; pieces of ``CAPACITY`` tokens fill a
@@ -30,7 +32,6 @@ CAPACITY = 1024
 END_TOKEN = 2
 # Pieces that one task packs.
 PARTITION_PIECES = 50_000
-MAX_ROUNDS = 8
 
 
 def load_tokenizer(path: str):
@@ -228,28 +229,55 @@ def pack_pieces(pieces: DataFrame, capacity=CAPACITY, partition_pieces=PARTITION
         }
     )
     rest = pieces.filter(F.col("length") < capacity)
-    for turn in range(1, MAX_ROUNDS + 1):
-        left = rest.count()
+    # The last packing of ``rest``: its table, its bins, and the pieces of a partition.
+    kept, bins, size = None, None, partition_pieces
+    turn = first = 0
+    while True:
+        sizes = rest.groupBy("length").agg(F.count("*").alias("n")).collect()
+        left = sum(r["n"] for r in sizes)
         if not left:
             break
-        parts = -(-left // partition_pieces)
-        last = turn == MAX_ROUNDS or parts == 1
+        counts = np.zeros(capacity + 1, np.int64)
+        for r in sizes:
+            counts[r["length"]] = r["n"]
+        parts = -(-left // size)
+        if kept is not None and bins <= lower_bound(counts, capacity):
+            done = done.unionByName(kept)
+            break
+        turn += 1
+        # Partitions have numbers of their own in every round.
         dealt = rest.withColumn(
-            "part", F.pmod(F.xxhash64(F.lit(turn), *names), F.lit(parts)).cast("bigint")
+            "part",
+            (F.pmod(F.xxhash64(F.lit(turn), *names), F.lit(parts)) + first).cast("bigint"),
         )
+        first += parts
         packed = written(
-            dealt.groupBy("part").applyInArrow(_pack_group(capacity, last), schema), "packed"
+            dealt.groupBy("part").applyInArrow(_pack_group(capacity, parts == 1), schema),
+            "packed",
         )
-        done = done.unionByName(
-            packed.filter("final").drop("final").withColumn("round", F.lit(turn))
+        # Every bin has one piece at its start.
+        begun = packed.filter("offset = 0").agg(
+            F.count("*").alias("bins"), F.count_if(~F.col("final")).alias("open")
         )
-        rest = packed.filter("not final").select(*names)
-    # Round in the low four bits; below it the row number of a whole piece, or
-    # the partition and 24 bits for the bin in it.
+        made = begun.first()
+        if kept is not None and made["bins"] >= bins:
+            # Nothing gained: the packing before holds until fewer partitions lower it.
+            if parts == 1:
+                done = done.unionByName(kept)
+                break
+            size = -(-left // (parts // 2))
+            continue
+        packed = packed.withColumn("round", F.lit(turn))
+        done = done.unionByName(packed.filter("final").drop("final"))
+        kept, bins = packed.filter("not final").drop("final"), made["open"]
+        rest = kept.select(*names)
+    # Lowest bit: packed by rounds; above it the partition and 24 bits for the bin
+    # in it, or the row number of a whole piece.
     place = F.when(F.col("round") == 0, F.col("bin")).otherwise(
         F.shiftleft("part", 24) + F.col("bin")
     )
-    return done.withColumn("sequence_id", F.shiftleft(place, 4) + F.col("round")).select(
+    rounds = (F.col("round") > 0).cast("bigint")
+    return done.withColumn("sequence_id", F.shiftleft(place, 1) + rounds).select(
         *names, "sequence_id", "offset"
     )
 

@@ -262,6 +262,17 @@ def test_partitions_with_gaps_are_packed_again(spark):
     assert _check_sequences(rows) <= len(room) * 1.01
 
 
+def test_rounds_go_on_while_they_lower_the_bins(spark):
+    # Sizes that no bound certifies; eight rounds were not enough for partitions so small.
+    draw = random.Random(1)
+    lengths = [draw.randint(257, 420) for _ in range(3000)]
+    pieces = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, length long")
+    rows = packing.pack_pieces(pieces, partition_pieces=30).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(3000))
+    _, _, room = packing.best_fit_decreasing(np.array(lengths))
+    assert _check_sequences(rows) <= len(room) * 1.005
+
+
 def test_lower_bounds_hold():
     draw = random.Random(2)
 
