@@ -154,6 +154,27 @@ def test_jaccard_components(docs):
     assert sorted(i for i in ids if i is not None) == sorted([*heads, *blank])
 
 
+def test_unlike_components_with_one_name_or_none(spark):
+    near = " ".join(_edited(BASE, 1, 1))
+    rows = [
+        (None, "one text without an id at all"),
+        (None, "one text without an id at all"),
+        (None, "quite another text that has none either"),
+        (None, " ".join(BASE)),
+        (None, near),
+        (5, "the first of two unlike texts"),
+        (5, "and here is the second one of them"),
+        (6, "twice the same words for one id"),
+        (6, "twice the same words for one id"),
+        (7, LONG),
+        (8, LONG + " tail"),
+        (None, LONG),
+    ]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = shingle_join.one_of_each(table).collect()
+    assert _sorted(kept) == _sorted([*rows[:7], rows[8], rows[9]])
+
+
 def test_frequent_tokens_and_matches_change_no_result(docs, monkeypatch):
     for most, frequent, rounds in ((1, 3, 0), (4, 1, 1)):
         monkeypatch.setattr(shingle_join, "MOST_MATCHES", most)
