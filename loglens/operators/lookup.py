@@ -79,6 +79,8 @@ def lookup_join(
     * otherwise a shuffled join in which the rows of each hot key are spread
       over several pieces by a hash of the unique column(s) ``salt_by``, and the
       matching ``dim`` rows are repeated once per piece.
+
+    The keys of a stream cannot be counted ahead, so its rows are not spread.
     """
     spark = facts.sparkSession
     columns = facts.columns + [c for c in dim.columns if c != key]
@@ -86,7 +88,8 @@ def lookup_join(
     if dim_bytes is None:
         dim_bytes = measured_bytes(dim)
     small = dim_bytes <= broadcast_bytes
-    if not small:
+    salted = not small and not facts.isStreaming
+    if salted:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
         schema = StructType([facts.schema[key]]).add("_pieces", IntegerType())
         # At most one row per shuffle partition, see hot_keys.
@@ -108,7 +111,7 @@ def lookup_join(
             )
             .drop("_pieces")
         )
-    keys = [key] if small else [key, "_salt"]
+    keys = [key, "_salt"] if salted else [key]
     renamed = dim
     for name in keys:
         renamed = renamed.withColumnRenamed(name, f"_dim_{name}")

@@ -33,6 +33,7 @@ from loglens.sources.tables import (
     log_lines,
     log_records,
     parsed_logs,
+    stream_log_records,
     stream_table,
     table,
     with_log_line,
@@ -662,14 +663,9 @@ def stream_ingest_twice(spark, sf_dir):
 
 
 def stream_minute_rules(spark, sf_dir):
-    parsed = parse_combined_log(with_log_line(stream_table(spark, sf_dir, "events")))
-    # Every user has a place here: locations matter only for the null filter.
-    place = F.struct(
-        F.lit("").alias("city_name"), F.lit(0.0).alias("latitude"), F.lit(0.0).alias("longitude")
-    )
     path = new_path(spark, "minute-rules")
     query = minute_rules.minute_rules(
-        parsed.withColumn("geoip", place),
+        stream_log_records(spark, sf_dir),
         "event_id",
         new_path(spark, "minute-csv"),
         path,

@@ -70,9 +70,18 @@ def event_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed lines with ``geoip``; some ``response`` texts are not numbers."""
-    located = lookup_join(
-        parsed_logs(spark, sf_dir), user_places(spark, sf_dir), "user_id", salt_by="event_id"
-    )
+    return _located(parsed_logs(spark, sf_dir), user_places(spark, sf_dir))
+
+
+def stream_log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of :func:`log_records` as a stream."""
+    lines = with_log_line(stream_table(spark, sf_dir, "events"))
+    parsed = parse_combined_log(lines.select("event_id", "user_id", "message"))
+    return _located(parsed, user_places(spark, sf_dir))
+
+
+def _located(parsed: DataFrame, places: DataFrame) -> DataFrame:
+    located = lookup_join(parsed, places, "user_id", salt_by="event_id")
     response = F.when(F.col("event_id") % 97 == 0, "-").otherwise(F.col("response"))
     return located.withColumn("response", response)
 

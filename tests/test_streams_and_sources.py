@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from loglens import session
 from loglens.operators import features
+from loglens.operators.lookup import lookup_join
 from loglens.operators.prepare import accumulate, feature_rows, has_rows
+from loglens.plans.queries import QUERIES
 from loglens.schema import LOG_SCHEMA
 from loglens.sinks.files import console_sink
 from loglens.sources import kafka, logs, synthetic
@@ -234,6 +236,28 @@ def test_both_outputs_of_a_batch_name_one_minute(spark, tmp_path):
     assert len(minutes[0]) == 1 and minutes[0] == minutes[1]
 
 
+def test_stream_rules_are_those_of_the_same_logs_in_batch(spark):
+    # Here the logs without a city change the ranks of three verbs.
+    found, expected = (
+        sorted(r["rule"] for r in QUERIES[name](spark, "/root/testdata/sf0.001").collect())
+        for name in ("stream_minute_rules", "log_rules")
+    )
+    assert found == expected
+
+
+def test_stream_joins_a_large_table(spark, tmp_path):
+    path, out = (str(tmp_path / n) for n in ("facts", "out"))
+    spark.range(90).selectExpr("id", "id % 30 AS key").write.parquet(path)
+    facts = spark.readStream.schema("id bigint, key bigint").parquet(path)
+    dim = spark.range(20).selectExpr("id AS key", "concat('d', id) AS name")
+    joined = lookup_join(facts, dim, "key", salt_by="id", broadcast_bytes=0)
+    joined.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "s")).trigger(
+        availableNow=True
+    ).start(out).awaitTermination()
+    found = {tuple(r) for r in spark.read.parquet(out).collect()}
+    assert found == {(i, i % 30, f"d{i % 30}" if i % 30 < 20 else None) for i in range(90)}
+
+
 def test_shared_folder(spark):
     folder = session.shared_dir(spark)
     assert session.new_path(spark, "x").startswith(folder)
