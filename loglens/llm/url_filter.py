@@ -3,8 +3,9 @@
 URLs that a rule decides are the labelled ones. Trees learn the verdict from the
 text of the URL only: lengths, depth, digit ratio, entropy, parameter counts and
 statistics of host suffixes and path tokens among labelled URLs. A bounded
-sample of labelled URLs (``TRAIN_URLS``, least hash first) fits the trees; the
-suffix statistics count all labelled URLs. Features are built-in expressions.
+sample of distinct labelled URLs (``TRAIN_URLS``, least hash first, both labels)
+fits the trees, each weighing as many rows as it has; the suffix statistics count
+all labelled URLs. Features are built-in expressions.
 
 Defined results: a null URL or one without ``://`` has an empty host and path,
 no rule, and features of zero length; with labels of one kind only the verdict is
@@ -32,6 +33,7 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 TRAIN_URLS = 20_000
+LEAST_URLS = 1_000
 TREES, DEPTH = 12, 4
 # Weight of the overall share in a suffix statistic.
 PRIOR = 10.0
@@ -117,6 +119,37 @@ def _statistics(labelled: DataFrame, key: str, share: float) -> DataFrame:
     return sums.select(key, ((F.col("b") + PRIOR * share) / (F.col("n") + PRIOR)).alias(f"s_{key}"))
 
 
+def _sample(vectors: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``(features, label, weight)`` of distinct labelled URLs, those with the least hashes.
+
+    Each label has its share of ``TRAIN_URLS``, but ``LEAST_URLS`` or all of its URLs
+    at least. Weights are the rows of a URL, times the URLs of its label that it stands for.
+    """
+    hashed = F.xxhash64("url")
+    hashes = written(labelled.select("label", hashed.alias("hash")).distinct(), "url-hashes")
+    counts = {r["label"]: r["count"] for r in hashes.groupBy("label").count().collect()}
+    urls = sum(counts.values())
+    taken, weight = F.lit(False), F.lit(None).cast("double")
+    for label, n in counts.items():
+        most = min(n, max(LEAST_URLS, TRAIN_URLS * n // urls))
+        of_label = hashes.filter(F.col("label") == label)
+        cut = of_label.orderBy("hash").limit(most).agg(F.max("hash").alias("cut")).first()["cut"]
+        taken |= (F.col("label") == label) & (hashed <= cut)
+        weight = F.when(F.col("label") == label, n / most).otherwise(weight)
+    return (
+        vectors.filter("by_rule is not null")
+        .select("features", (F.col("by_rule") == "block").cast("double").alias("label"), "url")
+        .filter(taken)
+        .groupBy("url")
+        .agg(
+            F.first("features").alias("features"),
+            F.first("label").alias("label"),
+            F.count("*").alias("rows"),
+        )
+        .select("features", "label", (F.col("rows") * weight).alias("weight"))
+    )
+
+
 def judge_urls(pages: DataFrame, page_id="page_id", url="url", rules=RULES) -> DataFrame:
     """``(page_id, url, host, path, rule, verdict, block_score)``."""
     base = pick(pages, page_id=page_id, url=url)
@@ -145,16 +178,10 @@ def judge_urls(pages: DataFrame, page_id="page_id", url="url", rules=RULES) -> D
         .select("page_id", "url", "host", "path", "rule", "by_rule", "features"),
         "url-vectors",
     )
-    train = (
-        vectors.filter("by_rule is not null")
-        .select("features", (F.col("by_rule") == "block").cast("double").alias("label"), "url")
-        .orderBy(F.xxhash64("url"))
-        .limit(TRAIN_URLS)
-        .select("features", "label")
-        .repartition(4)
-        .cache()
-    )
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, subsamplingRate=1.0).fit(train)
+    train = _sample(vectors, labelled).repartition(4).cache()
+    model = GBTClassifier(
+        maxIter=TREES, maxDepth=DEPTH, seed=7, subsamplingRate=1.0, weightCol="weight"
+    ).fit(train)
     train.unpersist()
     score = vector_to_array("probability")[1]
     return _verdicts(model.transform(vectors).withColumn("block_score", score))

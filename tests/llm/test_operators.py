@@ -419,6 +419,20 @@ def test_url_rules(spark):
     assert url_filter.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_repeated_url_does_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "TRAIN_URLS", 40)
+    monkeypatch.setattr(url_filter, "LEAST_URLS", 10, raising=False)
+    kinds = (("block", "net", "/a/"), ("allow", "org", "/b/"))
+    known = [f"http://h{i}.site.{h}{p}{i}" for i in range(60) for _, h, p in kinds]
+    table = spark.createDataFrame([(u,) for u in known], "url string")
+    hot = table.orderBy(F.xxhash64("url")).first()["url"]
+    asked = {f"http://u{i}.site.{h}{p[:-1]}": v for i in range(10) for v, h, p in kinds}
+    rows = list(enumerate([*known, *[hot] * 400, *asked]))
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    found = url_filter.judge_urls(pages, rules=kinds).filter("rule is null").collect()
+    assert {r["url"]: r["verdict"] for r in found} == asked
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
