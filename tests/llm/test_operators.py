@@ -1,5 +1,6 @@
 """Corpus operators against plain versions: nulls, empty and long texts, ties, copies."""
 
+import hashlib
 import random
 import zlib
 from collections import defaultdict
@@ -327,6 +328,45 @@ def test_shards_fit(spark, docs):
     assert sharding.extendible_shards(docs.limit(0)).count() == 0
 
 
+def _place(bits, sizes, limit):
+    """``(depth, bucket)`` of the first level whose bucket fits, None beyond 60 bits."""
+    for depth in range(61):
+        bucket = bits >> (60 - depth)
+        if sum(n for b, n in sizes if b >> (60 - depth) == bucket) <= limit:
+            return depth, bucket
+    return None
+
+
+def test_shards_as_brute_force_at_every_depth(spark):
+    def bits(doc):
+        return int(hashlib.md5(b"null" if doc is None else str(doc).encode()).hexdigest()[:15], 16)
+
+    draw = random.Random(4)
+    rows = [(i, "x" * draw.randint(0, 300)) for i in range(400)]
+    # Ids that share more than 20 bits, and rows that fit no bucket.
+    ids = sorted(range(1_000, 40_000), key=bits)
+    a, b = min(zip(ids, ids[1:]), key=lambda p: bits(p[0]) ^ bits(p[1]))
+    assert (bits(a) ^ bits(b)).bit_length() < 40
+    rows += [(a, "y" * 300), (b, "y" * 300), (500, "z" * 700), (501, "z" * 600)]
+    rows += [(502, "w" * 200)] * 5 + [(None, None)]
+    limit = 500
+    sizes = [(bits(i), len(t or "")) for i, t in rows]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sharding.extendible_shards(table, limit=limit).collect()
+    places = [_place(bits(i), sizes, limit) for i, _ in rows]
+    expected = [
+        (i, len(t or ""), *(place or (60, bits(i)))) for (i, t), place in zip(rows, places)
+    ]
+    assert None in places and max(p[0] for p in places if p) > 20
+    assert _sorted((r["doc_id"], r["n_bytes"], r["depth"], r["bucket"]) for r in found) == _sorted(
+        expected
+    )
+    pieces = defaultdict(list)
+    for r in found:
+        pieces[r["depth"], r["bucket"], r["piece"]].append(r["n_bytes"])
+    assert all(sum(p) <= limit or len(p) == 1 for p in pieces.values())
+
+
 def test_near_vectors(spark):
     draw = np.random.default_rng(3)
     centre = draw.normal(size=(6, 16))
