@@ -8,7 +8,7 @@ import types
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loglens.session import checkpointed, new_path, written  # noqa: F401
@@ -77,6 +77,39 @@ def texts_of(batch: pa.RecordBatch, column: str):
     return [t if t is not None else "" for t in batch.column(column).to_pylist()]
 
 
+def placed_rows(rows: DataFrame, group: str, order) -> DataFrame:
+    """Adds ``pos``, the place of a row in its ``group``, and ``n``, the group's rows.
+
+    Ranges of (group, order) are sorted and written with a number that fixes their
+    order; places follow from the counts of each group in each range. No task holds a
+    group, and a lost task gets the same places again. ``group`` must not be null.
+    """
+    ordered = (
+        rows.repartitionByRange(group, *order)
+        .sortWithinPartitions(group, *order)
+        .withColumn("at", F.monotonically_increasing_id())
+    )
+    ordered = written(ordered, "placed")
+    part = F.shiftright("at", 33)
+    # One row for each group and range.
+    runs = ordered.groupBy(group, part.alias("part")).agg(
+        F.count("*").alias("held"), F.min("at").alias("first")
+    )
+    whole = Window.partitionBy(group)
+    starts = runs.select(
+        group,
+        "part",
+        (F.sum("held").over(whole.orderBy("part")) - F.col("held") - F.col("first")).alias("shift"),
+        F.sum("held").over(whole).alias("n"),
+    )
+    return (
+        ordered.withColumn("part", part)
+        .join(starts, [group, "part"])
+        .withColumn("pos", F.col("at") + F.col("shift"))
+        .drop("at", "part", "shift")
+    )
+
+
 def components(edges: DataFrame, max_rounds=64) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``: the least node it reaches.
 

@@ -1,6 +1,8 @@
 """Registered queries of the corpus operators and their SQL equivalents."""
 
+from loglens.llm.conversations import op12_query
 from loglens.llm.exact_dedup import OP9_SQL, op9_query
+from loglens.llm.merkle import OP13_SQL, op13_query
 from loglens.llm.near_vectors import op4_query
 from loglens.llm.packing import op5_query
 from loglens.llm.quality import op2_query
@@ -22,5 +24,11 @@ QUERIES = {
     "op8_suffix_dedup": op8_query,
     "op9_exact_dedup": op9_query,
     "op10_url_filter": op10_query,
+    "op12_conversation_repair": op12_query,
+    "op13_merkle_manifest": op13_query,
+}
+ORACLE_SQL = {
+    "op7_extendible_shards": OP7_SQL,
+    "op9_exact_dedup": OP9_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }
-ORACLE_SQL = {"op7_extendible_shards": OP7_SQL, "op9_exact_dedup": OP9_SQL}
