@@ -4,6 +4,7 @@ from loglens.llm.conversations import op12_query
 from loglens.llm.exact_dedup import OP9_SQL, op9_query
 from loglens.llm.merkle import OP13_SQL, op13_query
 from loglens.llm.near_vectors import op4_query
+from loglens.llm.ngram_model import op11_query
 from loglens.llm.packing import op5_query
 from loglens.llm.quality import op2_query
 from loglens.llm.sentencepieces import op1_query
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_query,
     "op9_exact_dedup": op9_query,
     "op10_url_filter": op10_query,
+    "op11_language_model": op11_query,
     "op12_conversation_repair": op12_query,
     "op13_merkle_manifest": op13_query,
 }
