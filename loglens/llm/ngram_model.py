@@ -2,8 +2,8 @@
 
 Texts are read once, into blocks of a bounded number of bytes: the different words of a
 block, its documents as numbers of these words, and how often training documents use
-each word. Counts are summed over all blocks, known words get numbers in order, and each
-block learns the numbers and counts of its own words. For every order, blocks send their
+each word. Counts are summed over all blocks, known words get numbers, and each block
+learns the numbers and counts of its own words. For every order, blocks send their
 different n-grams (numbers, training counts, and the count of the context) to shards by
 context; a shard sums them, builds a trie of those that training documents hold and answers
 every block with the codes that its n-grams have there. Blocks add up their documents.
@@ -34,10 +34,10 @@ import re
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loglens.llm.common import pick, placed_rows, ship, text_slices, written
+from loglens.llm.common import pick, ship, text_slices, written
 from loglens.llm.elias_fano import Trie
 from loglens.llm.labelled import held_out
 
@@ -107,10 +107,11 @@ class BlockWriter:
                 pa.array([self.held], pa.list_(pa.bool_())),
                 pa.array([lengths], pa.list_(pa.int64())),
                 pa.array([_squeezed(tokens)], pa.binary()),
+                pa.array([len(self.known)], pa.int32()),
                 pa.array([list(self.known)], pa.list_(pa.binary())),
                 pa.array([counts], pa.list_(pa.int64())),
             ],
-            names=["block", "rows", "ids", "held", "lengths", "tokens", "words", "counts"],
+            names=["block", "rows", "ids", "held", "lengths", "tokens", "n_words", "words", "counts"],
         )
         self.clear()
         return batch
@@ -128,6 +129,23 @@ def _unsqueezed(data: bytes, kind, n: int) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(size, n).T).reshape(-1).view(kind)
 
 
+def _packed(columns) -> bytes:
+    """Number columns of one length as one value."""
+    coded = [_squeezed(c) for c in columns]
+    sizes = [len(columns[0]), *map(len, coded)]
+    return b"".join([n.to_bytes(8, "little") for n in sizes] + coded)
+
+
+def _opened(data: bytes, kinds) -> list[np.ndarray]:
+    at = 8 * (len(kinds) + 1)
+    n, *sizes = np.frombuffer(data[:at], np.int64).tolist()
+    columns = []
+    for kind, size in zip(kinds, sizes):
+        columns.append(_unsqueezed(data[at : at + size], kind, n))
+        at += size
+    return columns
+
+
 def _block_batches(order):
     def run(batches):
         part = TaskContext.get().partitionId()
@@ -166,7 +184,7 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 class Corpus:
     """What blocks and shards have to know of all texts: a few numbers."""
 
-    def __init__(self, tokens, words, order, all_tokens):
+    def __init__(self, tokens, words, all_tokens, order):
         self.tokens, self.words, self.order = tokens, words, order
         self.shards = max(1, -(-all_tokens // SHARD_GRAMS))
         # 255 steps from 1 down to the least share that a context can give.
@@ -185,15 +203,15 @@ class Corpus:
 class Block:
     """The documents of a block as numbers of known words."""
 
-    def __init__(self, row, corpus: Corpus):
+    def __init__(self, row, known, corpus: Corpus):
         self.corpus, self.carry = corpus, corpus.order - 1
         self.block, self.rows, self.ids, self.held = (row[c] for c in ("block", "rows", "ids", "held"))
         self.lengths = np.array(row["lengths"], np.int64)
         local = _unsqueezed(row["tokens"], np.int32, int(self.lengths.sum()))
-        known = row["found"]
         numbers, counts = np.zeros(row["n_words"], np.int64), np.zeros(row["n_words"], np.int64)
-        numbers[known["nth"]] = known["number"]
-        counts[known["nth"]] = known["c"]
+        for data in known.values():
+            nth, number, c = _opened(data, 3 * [np.int64])
+            numbers[nth], counts[nth] = number, c
         numbers[0], docs = BEGIN_ID, counts[1]
         # Ranks follow the numbers, so that keys of ranks are in the order of numbers.
         order = np.argsort(numbers, kind="stable")
@@ -242,14 +260,8 @@ class Block:
         cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
         for at, end in zip(cuts, np.append(cuts[1:], len(order))):
             chosen = order[at:end]
-            data = b"".join(
-                len(part).to_bytes(8, "little") + part
-                for part in [
-                    *[_squeezed(np.diff(c[chosen], prepend=0)) for c in columns],
-                    _squeezed(counts[chosen]),
-                    _squeezed(totals[chosen]),
-                ]
-            )
+            words = [np.diff(c[chosen], prepend=0) for c in columns]
+            data = _packed([*words, counts[chosen], totals[chosen]])
             yield int(shard[chosen[0]]), self.block, len(chosen), data
 
     def shards(self, columns, totals):
@@ -299,8 +311,11 @@ class Block:
         )
 
 
+_VALUES = ("block", "rows", "held", "lengths", "tokens", "n_words")
+
+
 def _blocks(batches):
-    """``(values, answers)`` of every block; answers as ``{order: {shard: codes}}``.
+    """``(values, answers)`` of every block; answers as ``{order: {shard: data}}``.
 
     Rows of a block are together, the block's own row first.
     """
@@ -308,36 +323,23 @@ def _blocks(batches):
     for batch in batches:
         for i in range(batch.num_rows):
             row = {n: batch.column(n)[i] for n in batch.schema.names}
-            if "n" in row and row["n"].is_valid and row["n"].as_py():
-                codes = np.frombuffer(row["codes"].as_py(), np.uint8)
-                answers.setdefault(row["n"].as_py(), {})[row["shard"].as_py()] = codes
+            if row["n"].as_py():
+                given = answers.setdefault(row["n"].as_py(), {})
+                given[row["shard"].as_py()] = row["codes"].as_py()
                 continue
             if current:
                 yield current, answers
-            known = row["found"].values
-            current, answers = {
-                "block": row["block"].as_py(),
-                "rows": row["rows"].as_py(),
-                "ids": row["ids"].values,
-                "held": row["held"].as_py(),
-                "lengths": row["lengths"].as_py(),
-                "tokens": row["tokens"].as_py(),
-                "n_words": row["n_words"].as_py(),
-                "found": {
-                    c: known.field(c).to_numpy(zero_copy_only=False)
-                    for c in ("nth", "number", "c")
-                }
-                if known is not None
-                else {c: np.zeros(0, np.int64) for c in ("nth", "number", "c")},
-            }, {}
+            current = {n: row[n].as_py() for n in _VALUES}
+            current["ids"], answers = row["ids"].values, {}
     if current:
         yield current, answers
 
 
 def _loaded(values, answers, corpus, orders):
-    block = Block(values, corpus)
+    block = Block(values, answers.get(1, {}), corpus)
     for n in orders:
-        block.apply(n, answers.get(n, {}))
+        codes = {s: np.frombuffer(data, np.uint8) for s, data in answers.get(n, {}).items()}
+        block.apply(n, codes)
     return block
 
 
@@ -371,14 +373,10 @@ def shard_trie(grams, counts, totals, corpus: Corpus) -> Trie:
 def _answer(shard, rows, corpus, n):
     """Codes for the n-grams of each block in ``rows(block, grams, data)``."""
     columns = [[] for _ in range(n + 2)]
-    for _, size, data in rows:
-        at = 0
-        for k in range(n + 2):
-            end = at + 8 + int.from_bytes(data[at : at + 8], "little")
-            kind = np.float64 if k > n else np.int64
-            values = _unsqueezed(data[at + 8 : end], kind, size)
+    for _, _, data in rows:
+        opened = _opened(data, [np.int64] * (n + 1) + [np.float64])
+        for k, values in enumerate(opened):
             columns[k].append(np.cumsum(values) if k < n else values)
-            at = end
     *words, counts, totals = [np.concatenate(c) for c in columns]
     order = np.lexsort(words[::-1])
     new = np.zeros(len(order), bool)
@@ -430,13 +428,65 @@ def _score_batches(corpus):
     return run
 
 
-def _known_words(said: DataFrame) -> DataFrame:
-    """``(word, c, number)`` of all words that training documents hold."""
-    counted = said.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0")
-    placed = placed_rows(counted.withColumn("all", F.lit(0)), "all", ["word"])
-    return written(
-        placed.select("word", "c", (F.col("pos") + FIRST_ID).alias("number")), "lm-words"
+def _packed_words(batches):
+    """Numbers and counts of the words of each block, many rows in one value."""
+    part = TaskContext.get().partitionId() << 33
+    names, held, rows = ("block", "nth", "number", "c", "new"), [], 0
+
+    def packed():
+        nonlocal held, rows, part
+        block, nth, number, c, new = (np.concatenate(columns) for columns in zip(*held))
+        held, rows = [], 0
+        order = np.argsort(block, kind="stable")
+        cuts = np.flatnonzero(np.diff(block[order], prepend=-1))
+        chosen = [order[a:b] for a, b in zip(cuts, np.append(cuts[1:], len(order)))]
+        part += 1
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([block[rows[0]] for rows in chosen], pa.int64()),
+                pa.array([1] * len(chosen), pa.int32()),
+                pa.array([part] * len(chosen), pa.int64()),
+                pa.array([_packed([v[rows] for v in (nth, number, c)]) for rows in chosen]),
+                pa.array([int(new[rows].sum()) for rows in chosen], pa.int64()),
+            ],
+            names=["block", "n", "shard", "codes", "new_words"],
+        )
+
+    for batch in batches:
+        held.append([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names])
+        rows += batch.num_rows
+        if rows > SHARD_GRAMS:
+            yield packed()
+    if rows:
+        yield packed()
+
+
+def _numbered_words(said: DataFrame) -> DataFrame:
+    """``(block, n, shard, codes, new_words)``: the known words of each block, packed.
+
+    A word is in a block once, so that the rows of a word are at most the blocks. Its number
+    follows from the place of its first row in its partition, and numbers of different
+    partitions alternate, so that they stay small. ``new_words`` counts each word once.
+    """
+    parts = int(said.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    word = Window.partitionBy("word")
+    at = F.col("at").bitwiseAND((1 << 33) - 1) * parts + F.spark_partition_id() + FIRST_ID
+    ordered = (
+        said.repartition(parts, "word")
+        .sortWithinPartitions("word")
+        .withColumn("at", F.monotonically_increasing_id())
+        .withColumn("at", at)
     )
+    known = ordered.withColumns({"c": F.sum("n").over(word), "number": F.min("at").over(word)})
+    new = (F.col("at") == F.col("number")).alias("new")
+    return (
+        known.filter("c > 0")
+        .select("block", "nth", "number", "c", new)
+        .mapInArrow(_packed_words, f"{_ANSWERS}, new_words bigint")
+    )
+
+
+_SUM = "aggregate({}, 0L, (a, b) -> a + b)"
 
 
 def score_documents(
@@ -452,37 +502,30 @@ def score_documents(
     rows = pick(docs, doc_id=doc_id, text=text)
     rows = rows.withColumn("held", held_out(F.col("doc_id"), folds, fold))
     id_type = rows.schema["doc_id"].dataType.simpleString()
+    documents = (
+        f"block bigint, rows array<bigint>, ids array<{id_type}>, held array<boolean>, "
+        "lengths array<bigint>, tokens binary, n_words int"
+    )
     blocks = written(
         rows.mapInArrow(
-            _block_batches(order),
-            f"block bigint, rows array<bigint>, ids array<{id_type}>, held array<boolean>, "
-            "lengths array<bigint>, tokens binary, words array<binary>, counts array<bigint>",
+            _block_batches(order), f"{documents}, words array<binary>, counts array<bigint>"
         ),
         "lm-blocks",
     )
     said = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("nth", "w"))
     said = said.select("block", "nth", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    words = _known_words(said)
-    totals = words.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
-    all_tokens = blocks.select(F.explode("lengths").alias("k")).agg(F.sum("k")).first()[0] or 0
-    corpus = Corpus(totals[1], totals[0], order, all_tokens)
-    found = (
-        said.join(words, "word")
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("nth", "number", "c")).alias("found"))
-    )
-    numbered = written(
-        blocks.withColumn("n_words", F.size("words"))
-        .drop("words", "counts")
-        .join(found, "block", "left"),
-        "lm-numbered",
-    )
-    answers = None
+    answers = written(_numbered_words(said), "lm-numbers")
+    sizes = [F.expr(_SUM.format(c)) for c in ("counts", "lengths")]
+    trained, all_tokens = blocks.agg(*[F.coalesce(F.sum(s), F.lit(0)) for s in sizes]).first()
+    new_words = answers.agg(F.coalesce(F.sum("new_words"), F.lit(0))).first()[0]
+    corpus = Corpus(trained, new_words, all_tokens, order)
+    answers = answers.drop("new_words")
+    numbered = blocks.drop("words", "counts")
     for n in range(2, order + 1):
         sent = _with_answers(numbered, answers).mapInArrow(_gram_batches(corpus, n), _GRAMS)
         shards = sent.repartition("shard").sortWithinPartitions("shard", "block")
         more = written(shards.mapInArrow(_answer_batches(corpus, n), _ANSWERS), "lm-answers")
-        answers = more if answers is None else answers.unionByName(more)
+        answers = answers.unionByName(more)
     scores = _with_answers(numbered, answers).mapInArrow(
         _score_batches(corpus),
         f"row bigint, doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, "
@@ -508,9 +551,8 @@ def score_documents(
     )
 
 
-def _with_answers(numbered: DataFrame, answers) -> DataFrame:
-    if answers is None:
-        return numbered
+def _with_answers(numbered: DataFrame, answers: DataFrame) -> DataFrame:
+    """Blocks, each followed by what shards have sent to it."""
     both = numbered.withColumn("n", F.lit(0)).unionByName(answers, allowMissingColumns=True)
     return both.repartition("block").sortWithinPartitions("block", "n", "shard")
 

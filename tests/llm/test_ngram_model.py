@@ -73,7 +73,7 @@ def _scores(rows, order):
                     grams[tuple(words[i - n + 1 : i + 1])] += 1
     count = {g[0]: c for g, c in grams.items() if len(g) == 1}
     tokens = sum(count.values())
-    corpus = ngram_model.Corpus(tokens, len(count), order, 1)
+    corpus = ngram_model.Corpus(tokens, len(count), 1, order)
 
     def total(context):
         if set(context) == {b"<s>"}:
