@@ -6,28 +6,93 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglens.functions.parsing import ipv4_number
-from loglens.operators.lookup import BROADCAST_BYTES, lookup_join
+from loglens.operators.lookup import BROADCAST_BYTES, lookup_join, measured_bytes
+from loglens.session import written
 
-# Candidate ranges one address may be compared with at the coarse prefix.
-_MAX_CANDIDATES = 1_024
+# Bits of an IPv4 address.
+_BITS = 32
 
 
-def _cut_ranges(ranges: DataFrame, shift: int) -> DataFrame:
-    block = F.explode(
-        F.sequence(F.shiftright("ip_start", shift), F.shiftright("ip_end", shift))
-    )
-    return ranges.withColumn("_block", block)
+def _key(length, prefix):
+    """A prefix and its length as one number."""
+    return length.cast("bigint") * (1 << _BITS) + prefix
 
 
-def _block_shift(ranges: DataFrame) -> int:
-    """/16 blocks, or /24 when many ranges share a /16.
+def prefix_cover(ranges: DataFrame) -> DataFrame:
+    """``(key, length, place)``: the address prefixes that make up each range.
 
-    Disjoint ranges give at most 65,536 extra pieces at /16, and at most 256
-    candidates per block at /24.
+    A prefix belongs to a range when all its addresses do and those of the prefix one
+    bit shorter do not. There are at most two of each length, so at most 62 for a
+    range. Of ranges with one prefix in common the smallest gives its place, so that with
+    nested ranges the longest prefix of an address is that of the innermost range.
     """
-    crowded = _cut_ranges(ranges, 16).groupBy("_block").count()
-    most = crowded.agg(F.max("count").alias("most")).first()["most"] or 0
-    return 16 if most <= _MAX_CANDIDATES else 8
+    places = [c for c in ranges.columns if c not in ("ip_start", "ip_end")]
+    start, end = F.col("ip_start"), F.col("ip_end")
+    levels = ranges.select(
+        start,
+        end,
+        F.struct(*places).alias("place"),
+        F.explode(F.sequence(F.lit(0), F.lit(_BITS))).alias("length"),
+    )
+    rest = F.lit(_BITS) - F.col("length")
+
+    def whole_blocks(bits):
+        """First and last prefix of that many free bits which lie within the range."""
+        size = F.call_function("shiftleft", F.lit(1).cast("bigint"), bits)
+        return (
+            F.call_function("shiftright", start + size - 1, bits),
+            F.call_function("shiftright", end + 1, bits) - 1,
+        )
+
+    first, last = whole_blocks(rest)
+    wider_first, wider_last = whole_blocks(rest + 1)
+    none_wider = (F.col("length") == 0) | (wider_first > wider_last)
+    beside = F.array_compact(
+        F.array(
+            F.when(first < 2 * wider_first, first), F.when(last > 2 * wider_last + 1, last)
+        )
+    )
+    prefixes = F.when(none_wider & (first <= last), F.sequence(first, last)).when(
+        ~none_wider, beside
+    )
+    return (
+        levels.select("ip_start", "ip_end", "place", "length", F.explode(prefixes).alias("prefix"))
+        .select(
+            _key(F.col("length"), F.col("prefix")).alias("key"),
+            "length",
+            "place",
+            F.struct(end - start, start, "place").alias("size"),
+        )
+        .groupBy("key")
+        .agg(F.min("length").alias("length"), F.min_by("place", "size").alias("place"))
+    )
+
+
+def _prefix_key(length):
+    return _key(F.lit(length), F.shiftright("_ip", _BITS - length))
+
+
+def _by_each_length(facts: DataFrame, cover: DataFrame, lengths) -> DataFrame:
+    """One map-side join a length, the longest first; rows do not move."""
+    place = F.lit(None).cast(cover.schema["place"].dataType)
+    for length in lengths:
+        known = cover.filter(F.col("length") == length).select(
+            F.col("key").alias("_known"), F.col("place").alias(f"_place{length}")
+        )
+        facts = facts.join(F.broadcast(known), _prefix_key(length) == F.col("_known"), "left")
+        facts = facts.drop("_known")
+        place = F.coalesce(place, F.col(f"_place{length}"))
+    return facts.withColumn("_place", place).drop(*[f"_place{n}" for n in lengths])
+
+
+def _by_address(facts: DataFrame, cover: DataFrame, lengths, row_id, limit) -> DataFrame:
+    """Different addresses meet their prefixes; then the facts meet the addresses."""
+    keys = F.explode(F.array(*[_prefix_key(n) for n in lengths])).alias("key")
+    asked = facts.filter("_ip IS NOT NULL").select("_ip").distinct().select("_ip", keys)
+    met = lookup_join(asked, cover, "key", salt_by="_ip", how="inner", broadcast_bytes=limit)
+    found = met.groupBy("_ip").agg(F.max_by("place", "length").alias("_place"))
+    found = written(found, "address-places")
+    return lookup_join(facts, found, "_ip", salt_by=row_id, broadcast_bytes=limit)
 
 
 def geoip_enrich(
@@ -35,28 +100,34 @@ def geoip_enrich(
     ranges: DataFrame,
     row_id: str,
     ip: str = "clientip",
-    shift: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Add the columns of ``ranges`` for the range that holds the address.
+    """Add the columns of ``ranges`` for the innermost range that holds the address.
+
+    ``ranges`` has ``ip_start``, ``ip_end`` (BIGINT, inclusive). They become a table of
+    address prefixes, and a row takes the place of its longest prefix there: joins by
+    equality only, one match a row however crowded a part of the address space is.
+    Columns of ``logs`` that ``ranges`` has as well are replaced.
 
-    ``ranges`` has ``ip_start``, ``ip_end`` (BIGINT, inclusive, disjoint). Both
-    sides get the address block, which turns the range join into an equi-join
-    with a small residual; a range over several blocks is repeated per block.
+    Tables measured within ``broadcast_bytes`` are joined where the rows are. Larger ones are
+    asked by the different addresses, each once for every length that occurs; a stream has
+    to be enriched batch by batch then.
     """
-    shift = _block_shift(ranges) if shift is None else shift
-    facts = logs.withColumn("_ip", ipv4_number(F.col(ip))).withColumn(
-        "_block", F.shiftright("_ip", shift)
-    )
-    joined = lookup_join(
-        facts,
-        _cut_ranges(ranges, shift),
-        "_block",
-        salt_by=row_id,
-        residual=lambda left, right: left["_ip"].between(right["ip_start"], right["ip_end"]),
-        broadcast_bytes=broadcast_bytes,
-    )
-    return joined.drop("_ip", "_block", "ip_start", "ip_end")
+    places = [c for c in ranges.columns if c not in ("ip_start", "ip_end")]
+    cover = written(prefix_cover(ranges), "prefix-cover")
+    # At most 33 lengths.
+    lengths = sorted((r[0] for r in cover.select("length").distinct().collect()), reverse=True)
+    facts = logs.drop(*places).withColumn("_ip", ipv4_number(F.col(ip)))
+    if not lengths:
+        found = facts.withColumn("_place", F.lit(None).cast(cover.schema["place"].dataType))
+    elif measured_bytes(cover) <= broadcast_bytes:
+        found = _by_each_length(facts, cover, lengths)
+    elif logs.isStreaming:
+        raise ValueError("this table of ranges is too large to join with a stream")
+    else:
+        found = _by_address(facts, cover, lengths, row_id, broadcast_bytes)
+    kept = [F.col(f"`{c}`") for c in facts.columns if c != "_ip"]
+    return found.select(*kept, *[F.col(f"_place.`{c}`").alias(c) for c in places])
 
 
 def _places(gazetteer: DataFrame) -> DataFrame:

@@ -81,8 +81,10 @@ def lookup_join(
       matching ``dim`` rows are repeated once per piece.
 
     The keys of a stream cannot be counted ahead, so its rows are not spread.
+    Columns of ``facts`` that ``dim`` has as well are replaced by those of ``dim``.
     """
     spark = facts.sparkSession
+    facts = facts.drop(*[c for c in dim.columns if c != key])
     columns = facts.columns + [c for c in dim.columns if c != key]
     ids = [salt_by] if isinstance(salt_by, str) else list(salt_by)
     if dim_bytes is None:

@@ -425,23 +425,26 @@ SELECT 0 AS line_no, '{",".join(_KEYS)}' AS line UNION ALL
 SELECT row_number() OVER (ORDER BY event_id, element), concat_ws(',', {", ".join(_KEYS)})
 FROM wide""",
     "json_csv_files": f"WITH {_WIDE} SELECT {', '.join(_KEYS)} FROM wide",
-    "geoip_enrich": f"""WITH {_PARSED}, ranges AS (
-  SELECT c_custkey // 60 AS block, min(c_custkey) AS lo, max(c_custkey) AS hi,
-    arg_min(c_nationkey, c_custkey) AS n
-  FROM customer GROUP BY c_custkey // 60 HAVING c_custkey // 60 % 4 <> 3)
-SELECT event_id, clientip, n_name AS geo_city FROM parsed
-LEFT JOIN (ranges JOIN nation ON n = n_nationkey) ON user_id BETWEEN lo AND hi""",
+    "geoip_enrich": f"""WITH {_PARSED}, blocks AS (
+  SELECT w, min(c_custkey) AS lo, max(c_custkey) AS hi, arg_min(c_nationkey, c_custkey) AS n
+  FROM customer, (VALUES (60), (600)) widths(w) GROUP BY w, c_custkey // w),
+ranges AS (
+  SELECT w, lo, CASE w WHEN 60 THEN lo + (hi - lo) * 3 // 4 ELSE lo + (hi - lo) // 2 END AS hi,
+    n_name FROM blocks JOIN nation ON n = n_nationkey)
+SELECT event_id, clientip, coalesce(i.n_name, o.n_name) AS geo_city FROM parsed
+LEFT JOIN ranges i ON i.w = 60 AND user_id BETWEEN i.lo AND i.hi
+LEFT JOIN ranges o ON o.w = 600 AND user_id BETWEEN o.lo AND o.hi""",
     "geocode_lookup": f"""WITH {_RECORDS}
 SELECT event_id, city_name AS address,
   CAST(CASE WHEN n.n_name IS NULL THEN 0 ELSE n.n_nationkey + 0.5 END AS DOUBLE) AS lat,
   CAST(CASE WHEN n.n_name IS NULL THEN 0 ELSE n.n_nationkey * 2 END AS DOUBLE) AS lng,
   n.n_name IS NOT NULL AS geocoded
-FROM records r LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n ON city_name = n.n_name""",
+FROM records r LEFT JOIN nation n ON city_name = CASE WHEN n_regionkey = 2 THEN lower(n.n_name) ELSE n.n_name END""",
     "geocode_sql_functions": f"""WITH {_RECORDS}
 SELECT event_id,
   CAST(CASE WHEN n.n_name IS NULL THEN 0 ELSE n.n_nationkey + 0.5 END AS DOUBLE) AS lat,
   CAST(CASE WHEN n.n_name IS NULL THEN 0 ELSE n.n_nationkey * 2 END AS DOUBLE) AS lng
-FROM records r LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 2) n ON city_name = n.n_name""",
+FROM records r LEFT JOIN nation n ON city_name = CASE WHEN n_regionkey = 2 THEN lower(n.n_name) ELSE n.n_name END""",
     "window_counts": _windows(10, 2),
     "minute_counts": _windows(60, 60),
     "stream_window_counts": _windows(10, 2),

@@ -576,14 +576,11 @@ def geoip_enrich(spark, sf_dir):
 
 
 def _gazetteer(spark, sf_dir):
-    return (
-        table(spark, sf_dir, "nation")
-        .filter("n_regionkey <> 2")
-        .selectExpr(
-            "n_name AS address",
-            "CAST(n_nationkey + 0.5 AS DOUBLE) AS lat",
-            "CAST(n_nationkey * 2 AS DOUBLE) AS lng",
-        )
+    """Nations as addresses; those of one region are spelled in another way."""
+    return table(spark, sf_dir, "nation").selectExpr(
+        "CASE WHEN n_regionkey = 2 THEN lower(n_name) ELSE n_name END AS address",
+        "CAST(n_nationkey + 0.5 AS DOUBLE) AS lat",
+        "CAST(n_nationkey * 2 AS DOUBLE) AS lng",
     )
 
 

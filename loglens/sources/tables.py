@@ -86,27 +86,30 @@ def _located(parsed: DataFrame, places: DataFrame) -> DataFrame:
     return located.withColumn("response", response)
 
 
-def address_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """IP ranges of 60 customers each, placed where their first customer lives.
-
-    Every fourth block has no range.
-    """
+def _customer_ranges(spark, sf_dir, width: int, covered: str) -> DataFrame:
+    """Ranges of so many customers, placed where their first one lives."""
     first = F.min(F.struct("c_custkey", "c_nationkey"))["c_nationkey"]
     blocks = (
         table(spark, sf_dir, "customer")
-        .groupBy(F.expr("c_custkey div 60").alias("block"))
+        .groupBy(F.expr(f"c_custkey div {width}").alias("block"))
         .agg(F.min("c_custkey").alias("lo"), F.max("c_custkey").alias("hi"), first.alias("n"))
-        .filter("block % 4 <> 3")
     )
     nation = table(spark, sf_dir, "nation")
     base = 10 << 24
     return blocks.join(nation, blocks.n == nation.n_nationkey).select(
         (F.col("lo") + base).alias("ip_start"),
-        (F.col("hi") + base).alias("ip_end"),
+        (F.expr(covered) + base).alias("ip_end"),
         F.col("n_name").alias("geo_city"),
     )
 
 
+def address_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IP ranges: the first three quarters of every 60 customers, and around them the first
+    half of every 600. Other addresses have no range."""
+    inner = _customer_ranges(spark, sf_dir, 60, "lo + (hi - lo) * 3 div 4")
+    return inner.unionByName(_customer_ranges(spark, sf_dir, 600, "lo + (hi - lo) div 2"))
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
     """A table as a file stream; works for one file and for a folder of files."""
     schema = table(spark, sf_dir, name).schema

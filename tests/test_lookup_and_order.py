@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from loglens.operators import enrich, features
@@ -111,11 +113,14 @@ RANGES = [
 ]
 
 
-def test_geoip_ranges(spark):
-    ranges = spark.createDataFrame(
-        [(_number(a), _number(b), c) for a, b, c in RANGES],
+def _ranges(spark, rows):
+    return spark.createDataFrame(
+        [(_number(a), _number(b), c) for a, b, c in rows],
         "ip_start bigint, ip_end bigint, place string",
     )
+
+
+def test_geoip_ranges(spark):
     expected = {
         "10.0.0.0": "one",
         "10.0.0.255": "one",
@@ -128,23 +133,74 @@ def test_geoip_ranges(spark):
         "not an address": None,
         None: None,
     }
-    logs = spark.createDataFrame(list(enumerate(expected)), "row_id int, clientip string")
-    for shift in (None, 16):
-        for limit in (0, 1 << 26):
-            made = enrich.geoip_enrich(logs, ranges, "row_id", shift=shift, broadcast_bytes=limit)
-            assert {r["clientip"]: r["place"] for r in made.collect()} == expected
-
-
-def test_crowded_blocks_use_finer_ones(spark):
-    one_each = spark.range(5_000).select(
-        (F.col("id") + (10 << 24)).alias("ip_start"),
-        (F.col("id") + (10 << 24)).alias("ip_end"),
-        F.col("id").alias("place"),
+    logs = spark.createDataFrame(
+        [(i, a, "before", 1) for i, a in enumerate(expected)],
+        "row_id int, clientip string, place string, length int",
+    )
+    for limit in (0, 1 << 26):
+        made = enrich.geoip_enrich(logs, _ranges(spark, RANGES), "row_id", broadcast_bytes=limit)
+        assert made.columns == ["row_id", "clientip", "length", "place"]
+        assert {r["clientip"]: r["place"] for r in made.collect()} == expected
+        none = enrich.geoip_enrich(logs, _ranges(spark, RANGES[:0]), "row_id", broadcast_bytes=limit)
+        assert [r["place"] for r in none.collect()] == [None] * len(expected)
+
+
+def test_geoip_struct_is_replaced(spark):
+    logs = spark.createDataFrame([(1, "10.0.0.9")], "row_id int, clientip string").selectExpr(
+        "*", "named_struct('city_name', 'old', 'latitude', 1D) AS geoip"
+    )
+    ranges = _ranges(spark, RANGES).selectExpr(
+        "ip_start", "ip_end", "named_struct('city_name', place, 'latitude', 2D) AS geoip"
+    )
+    row = enrich.geoip_enrich(logs, ranges, "row_id").first()
+    assert tuple(row["geoip"]) == ("one", 2.0)
+
+
+def test_prefix_cover_is_exact_and_least(spark):
+    draw = random.Random(4)
+    bounds = [sorted(draw.sample(range(300), 2)) for _ in range(60)]
+    bounds += [[0, 2**32 - 1], [1, 2**32 - 1], [0, 0], [7, 7], [9, 8], [2**32 - 1, 2**32 - 1]]
+    for low, high in bounds:
+        rows = spark.createDataFrame([(low, high, "x")], "ip_start bigint, ip_end bigint, place string")
+        blocks = sorted(
+            ((r["key"] % 2**32) << (32 - r["length"]), 2 ** (32 - r["length"]))
+            for r in enrich.prefix_cover(rows).collect()
+        )
+        at = low
+        for start, size in blocks:
+            assert start == at and start % size == 0
+            at += size
+        assert at == max(low, high + 1)
+        # No two neighbours could be one prefix.
+        assert not any(
+            a[1] == b[1] and a[0] % (2 * a[1]) == 0 for a, b in zip(blocks, blocks[1:])
+        )
+
+
+def test_crowded_and_nested_ranges(spark):
+    """Thousands of ranges in one /16, inside wider ones."""
+    draw = random.Random(8)
+    base, rows = 10 << 24, [(10 << 24, (10 << 24) + 65_535, "outer")]
+    at = 0
+    while at < 65_000:
+        size = draw.randrange(1, 12)
+        rows.append((base + at, base + at + size - 1, f"r{at}"))
+        at += size + draw.randrange(3)
+    middle = (base + 100, base + 60_000, "middle")
+    table = spark.createDataFrame([*rows, middle], "ip_start bigint, ip_end bigint, place string")
+    asked = [draw.randrange(70_000) for _ in range(2_000)] + [5] * 500
+    logs = spark.createDataFrame(
+        [(i, f"10.{n >> 16}.{n >> 8 & 255}.{n & 255}") for i, n in enumerate(asked)],
+        "row_id int, clientip string",
     )
-    assert enrich._block_shift(one_each) == 8
-    logs = spark.createDataFrame([(1, "10.0.19.135"), (2, "10.0.19.136")], "row_id int, clientip string")
-    made = enrich.geoip_enrich(logs, one_each, "row_id")
-    assert {r["row_id"]: r["place"] for r in made.collect()} == {1: 4_999, 2: None}
+    holder = {}
+    for low, high, place in [rows[0], middle, *rows[1:]]:
+        holder.update((n - base, place) for n in range(low, high + 1))
+    for limit in (0, 1 << 26):
+        made = enrich.geoip_enrich(logs, table, "row_id", broadcast_bytes=limit).collect()
+        assert {r["row_id"]: r["place"] for r in made} == {
+            i: holder.get(n) for i, n in enumerate(asked)
+        }
 
 
 def test_geocode(spark):
