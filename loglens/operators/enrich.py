@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loglens.functions.parsing import ipv4_number
+from loglens.functions.parsing import ipv4_number, parse_combined_log
 from loglens.operators.lookup import BROADCAST_BYTES, lookup_join, measured_bytes
+from loglens.schema import GEOIP_SCHEMA
 from loglens.session import written
 
 # Bits of an IPv4 address.
@@ -130,6 +131,30 @@ def geoip_enrich(
     return found.select(*kept, *[F.col(f"_place.`{c}`").alias(c) for c in places])
 
 
+def located_records(
+    lines: DataFrame, ranges: DataFrame, row_id: str, message: str = "message",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Raw lines to log records: the parsed fields and a ``geoip`` struct.
+
+    ``ranges`` may have any of the members of the struct as columns; the others are null,
+    but for ``ip`` and ``location``. Addresses without a range have no struct.
+    """
+    given = [f for f in GEOIP_SCHEMA.fields if f.name in ranges.columns]
+    place = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in given])
+    table = ranges.select("ip_start", "ip_end", place.alias("geoip"))
+    found = geoip_enrich(
+        parse_combined_log(lines, message), table, row_id, broadcast_bytes=broadcast_bytes
+    )
+    members = {f.name: F.lit(None).cast(f.dataType) for f in GEOIP_SCHEMA.fields}
+    members |= {f.name: F.col("geoip")[f.name] for f in given}
+    members["ip"] = F.col("clientip")
+    if {"latitude", "longitude"} <= set(ranges.columns):
+        members["location"] = F.array(F.col("geoip.longitude"), F.col("geoip.latitude"))
+    whole = F.struct(*[column.alias(name) for name, column in members.items()])
+    return found.withColumn("geoip", F.when(F.col("geoip").isNotNull(), whole))
+
+
 def _places(gazetteer: DataFrame) -> DataFrame:
     return gazetteer.groupBy("address").agg(F.min(F.struct("lat", "lng")).alias("_place"))
 

@@ -8,14 +8,14 @@ number of distinct combinations, not on the number of records.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglens.functions.split import TRAIN_PERCENT, is_train
 from loglens.operators.features import PRESETS, index_columns
-from loglens.operators.metrics import area_under_roc, scalar_metrics
+from loglens.operators.metrics import area_under_roc, roc_curve, scalar_metrics
 from loglens.operators.models import (
     CLUSTERS,
     Clustering,
@@ -29,6 +29,8 @@ from loglens.operators.prepare import feature_rows, has_rows
 from loglens.operators.rules import attach_metric, generate_rules
 from loglens.session import checkpointed
 
+# Fixed value: a tree is grown from more rows than this.
+TREE_ROWS = 2
 # Record columns behind the inputs of each feature set.
 SOURCE_COLUMNS = {
     "verb": ("verb",),
@@ -55,6 +57,9 @@ class Analysis:
     def area_under_roc(self) -> DataFrame:
         return area_under_roc(self.scored, weight="weight")
 
+    def roc_curve(self) -> DataFrame:
+        return roc_curve(self.scored, weight="weight")
+
 
 def combinations(
     rows: DataFrame, columns, row_id: str, by=(), percent: int = TRAIN_PERCENT
@@ -85,20 +90,35 @@ def analyse_combinations(
     combos = checkpointed(combos)
     if not has_rows(combos):
         return Analysis(skipped="no rows")
-    features = PRESETS[preset].inputs
     indexed = index_combinations(combos, preset)
-    clustering = fit_kmeans(indexed, features, k, weight="weight", seed=seed)
+    clustering = fit_kmeans(indexed, PRESETS[preset].inputs, k, weight="weight", seed=seed)
     clustered = checkpointed(clustering.assign(indexed))
+    return classified(Analysis(clustered, clustering), preset, model, **params)
+
+
+def classified(analysis: Analysis, preset: str, model: str, **params) -> Analysis:
+    """``analysis`` with a classifier of its clusters, scored on the test side.
+
+    A tree is grown from more than ``TREE_ROWS`` rows only.
+    """
+    clustered, features = analysis.clustered, PRESETS[preset].inputs
+    found = Analysis(clustered, analysis.clustering)
+    if model == "tree" and not _more_rows_than(clustered, TREE_ROWS):
+        return replace(found, skipped=f"a tree needs more than {TREE_ROWS} rows")
     rows = labelled(clustered, features, keep=("is_train", "weight"))
     try:
         classifier = fit_weighted(
             rows.filter("is_train"), model, features, weight="weight", **params
         )
     except NoTrainingData as reason:
-        return Analysis(clustered, clustering, skipped=str(reason))
+        return replace(found, skipped=str(reason))
     scored = classifier.score(rows.filter("NOT is_train"), keep=("label", "weight"))
     metrics = scalar_metrics(scored, weight="weight")
-    return Analysis(clustered, clustering, classifier, scored, metrics)
+    return replace(found, classifier=classifier, scored=scored, metrics=metrics)
+
+
+def _more_rows_than(combos: DataFrame, n: int) -> bool:
+    return (combos.agg(F.sum("weight").alias("n")).first()["n"] or 0) > n
 
 
 def analyse_logs(

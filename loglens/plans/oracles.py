@@ -111,6 +111,32 @@ _VERB_CLUSTERS = (
   SELECT *, CAST(dense_rank() OVER (ORDER BY verbIndex) - 1 AS INTEGER) AS clusters FROM indexed)"""
 )
 
+_RANGES = """blocks AS (
+  SELECT w, min(c_custkey) AS lo, max(c_custkey) AS hi, arg_min(c_nationkey, c_custkey) AS n
+  FROM customer, (VALUES (60), (600)) widths(w) GROUP BY w, c_custkey // w),
+ranges AS (
+  SELECT w, lo, CASE w WHEN 60 THEN lo + (hi - lo) * 3 // 4 ELSE lo + (hi - lo) // 2 END AS hi, n
+  FROM blocks)"""
+
+# Raw lines with the place of the innermost range; lines of another form have no field.
+_RAW = (
+    _PARSED
+    + ", "
+    + _RANGES
+    + """, raw AS (
+  SELECT event_id, event_id % 89 <> 0 AS parsed,
+    CASE WHEN event_id % 89 <> 0 THEN verb END AS verb,
+    CASE WHEN event_id % 89 <> 0 THEN coalesce(i.n, o.n) END AS nation
+  FROM parsed
+  LEFT JOIN ranges i ON i.w = 60 AND user_id BETWEEN i.lo AND i.hi
+  LEFT JOIN ranges o ON o.w = 600 AND user_id BETWEEN o.lo AND o.hi),
+raw_kept AS (SELECT * FROM raw WHERE parsed AND nation % 10 <> 3),
+raw_clusters AS (
+  SELECT verb, count(*) AS support,
+    CAST(row_number() OVER (ORDER BY count(*) DESC, verb) - 1 AS INTEGER) AS clusters
+  FROM raw_kept GROUP BY verb)"""
+)
+
 _PAIRS = """pairs AS (SELECT doc_id, CAST(quality AS DOUBLE) AS prediction,
   CAST(toxic AS DOUBLE) AS label FROM labels)"""
 
@@ -406,10 +432,9 @@ FROM scored JOIN (SELECT event_id, ts FROM events) USING (event_id) GROUP BY ALL
 SELECT verb, clusters, CAST(1 AS DOUBLE) AS "precision", count(*) AS support,
   'IF verb=' || verb || ' THEN clusters=' || clusters || ' -- precision=1.0' AS rule
 FROM verb_clusters GROUP BY verb, clusters""",
-    "stream_minute_rules": f"""WITH {_PARSED}
-SELECT 'IF verb=' || verb || ' THEN clusters=' ||
-  (row_number() OVER (ORDER BY count(*) DESC, verb) - 1) || ' -- precision=1.0' AS rule
-FROM parsed GROUP BY verb""",
+    "stream_minute_rules": f"""WITH {_VERB_CLUSTERS}
+SELECT DISTINCT 'IF verb=' || verb || ' THEN clusters=' || clusters || ' -- precision=1.0' AS rule
+FROM verb_clusters""",
     "log_rules_tree": f"""WITH {_VERB_CLUSTERS}
 SELECT 'IF verb=' || verb || ' THEN clusters=' || clusters || ' -- precision=1.0' AS rule,
   count(*) AS support FROM verb_clusters GROUP BY verb, clusters""",
@@ -425,15 +450,27 @@ SELECT 0 AS line_no, '{",".join(_KEYS)}' AS line UNION ALL
 SELECT row_number() OVER (ORDER BY event_id, element), concat_ws(',', {", ".join(_KEYS)})
 FROM wide""",
     "json_csv_files": f"WITH {_WIDE} SELECT {', '.join(_KEYS)} FROM wide",
-    "geoip_enrich": f"""WITH {_PARSED}, blocks AS (
-  SELECT w, min(c_custkey) AS lo, max(c_custkey) AS hi, arg_min(c_nationkey, c_custkey) AS n
-  FROM customer, (VALUES (60), (600)) widths(w) GROUP BY w, c_custkey // w),
-ranges AS (
-  SELECT w, lo, CASE w WHEN 60 THEN lo + (hi - lo) * 3 // 4 ELSE lo + (hi - lo) // 2 END AS hi,
-    n_name FROM blocks JOIN nation ON n = n_nationkey)
-SELECT event_id, clientip, coalesce(i.n_name, o.n_name) AS geo_city FROM parsed
+    "geoip_enrich": f"""WITH {_PARSED}, {_RANGES}
+SELECT event_id, clientip, n_name AS geo_city FROM parsed
 LEFT JOIN ranges i ON i.w = 60 AND user_id BETWEEN i.lo AND i.hi
-LEFT JOIN ranges o ON o.w = 600 AND user_id BETWEEN o.lo AND o.hi""",
+LEFT JOIN ranges o ON o.w = 600 AND user_id BETWEEN o.lo AND o.hi
+LEFT JOIN nation ON n_nationkey = coalesce(i.n, o.n)""",
+    "raw_line_rules": f"""WITH {_RAW}
+SELECT verb, clusters, CAST(1 AS DOUBLE) AS "precision", support,
+  'IF verb=' || verb || ' THEN clusters=' || clusters || ' -- precision=1.0' AS rule
+FROM raw_clusters""",
+    "raw_line_counts": f"""WITH {_RAW}
+SELECT parsed, verb, n_name AS country_name,
+  CASE WHEN n_nationkey % 10 <> 3 THEN n_name END AS city_name, count(*) AS n,
+  sum(CAST(n_nationkey * 14 - 170 AS DOUBLE)) AS longitudes
+FROM raw LEFT JOIN nation ON n_nationkey = nation GROUP BY ALL""",
+    "stream_raw_line_rules": f"""WITH {_RAW}
+SELECT 'IF verb=' || verb || ' THEN clusters=' || clusters || ' -- precision=1.0' AS rule
+FROM raw_clusters""",
+    "stream_rule_scores": f"""WITH {_RAW}
+SELECT model, count(*) AS n, count(*) AS n_correct, CAST(0 AS DOUBLE) AS mse,
+  CAST(1 AS DOUBLE) AS auc
+FROM raw_kept, (VALUES ('logistic'), ('tree')) m(model) WHERE NOT {_IS_TRAIN} GROUP BY model""",
     "geocode_lookup": f"""WITH {_RECORDS}
 SELECT event_id, city_name AS address,
   CAST(CASE WHEN n.n_name IS NULL THEN 0 ELSE n.n_nationkey + 0.5 END AS DOUBLE) AS lat,

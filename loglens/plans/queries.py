@@ -30,9 +30,11 @@ from loglens.sources import kafka, logs, synthetic
 from loglens.sources.tables import (
     address_ranges,
     event_places,
+    location_ranges,
     log_lines,
     log_records,
     parsed_logs,
+    raw_lines,
     stream_log_records,
     stream_table,
     table,
@@ -673,6 +675,53 @@ def stream_minute_rules(spark, sf_dir):
     return spark.read.text(path).select(F.col("value").alias("rule"))
 
 
+def raw_line_rules(spark, sf_dir):
+    """Raw lines to rules: files, parsing, address ranges, clusters, classifier."""
+    path = new_path(spark, "raw-lines")
+    spread_small_input(raw_lines(table(spark, sf_dir, "events"))).write.parquet(path)
+    lines = spark.read.parquet(path)
+    records = enrich.located_records(lines, location_ranges(spark, sf_dir), "event_id")
+    analysis = analyse_logs(records, "event_id")
+    return analysis.rules(("verb",)).select("verb", "clusters", "precision", "support", "rule")
+
+
+def raw_line_counts(spark, sf_dir):
+    """What becomes of raw lines: whether they match, and whether they have a place."""
+    lines = spread_small_input(raw_lines(table(spark, sf_dir, "events")))
+    records = enrich.located_records(lines, location_ranges(spark, sf_dir), "event_id")
+    return records.groupBy(
+        "parsed",
+        "verb",
+        F.col("geoip.country_name").alias("country_name"),
+        F.col("geoip.city_name").alias("city_name"),
+    ).agg(F.count("*").alias("n"), F.sum(F.col("geoip.location")[0]).alias("longitudes"))
+
+
+def _stream_raw_lines(spark, sf_dir, **outputs):
+    lines = raw_lines(stream_table(spark, sf_dir, "events"))
+    ranges = location_ranges(spark, sf_dir)
+    paths = [new_path(spark, n) for n in ("raw-csv", "raw-rules", "raw-state")]
+    minute_rules.minute_rules(
+        enrich.located_records(lines, ranges, "event_id"),
+        "event_id",
+        *paths,
+        available_now=True,
+        **outputs,
+    ).awaitTermination()
+    return paths[1]
+
+
+def stream_raw_line_rules(spark, sf_dir):
+    return spark.read.text(_stream_raw_lines(spark, sf_dir)).select(F.col("value").alias("rule"))
+
+
+def stream_rule_scores(spark, sf_dir):
+    """The scores that the stream writes: test rows, errors and the area under the curve."""
+    path = new_path(spark, "raw-metrics")
+    _stream_raw_lines(spark, sf_dir, metrics_path=path)
+    return spark.read.parquet(path).select("model", "n", "n_correct", "mse", "auc")
+
+
 QUERIES = {
     "parse_combined_log": parse_lines,
     "log_file_lines": log_file_lines,
@@ -748,4 +797,8 @@ QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_ingest_twice": stream_ingest_twice,
     "stream_minute_rules": stream_minute_rules,
+    "raw_line_rules": raw_line_rules,
+    "raw_line_counts": raw_line_counts,
+    "stream_raw_line_rules": stream_raw_line_rules,
+    "stream_rule_scores": stream_rule_scores,
 }

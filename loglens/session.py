@@ -8,7 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 
 def build_session(app_name="loglens", master=None, **settings):
@@ -52,7 +52,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def literal_rows(spark: SparkSession, rows, schema: StructType) -> DataFrame:
-    """A few known rows as a table that needs no Python workers."""
+    """A few known rows as a table that needs no Python workers; any value may be null."""
+    schema = StructType([StructField(f.name, f.dataType) for f in schema.fields])
     values = [
         F.struct(
             *[
@@ -70,6 +71,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes ``path``, wherever it is stored; nothing happens where it does not exist."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.delete(folder, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor."""
     shared_dir(df.sparkSession)

@@ -17,6 +17,14 @@ _VERB = """CASE event_type WHEN 'view' THEN 'GET' WHEN 'click' THEN 'GET'
  WHEN 'purchase' THEN 'POST' WHEN 'signup' THEN 'PUT' ELSE 'BADVERB' END"""
 _STATUS = """CASE WHEN event_type = 'error' THEN '500'
  WHEN event_id % 25 = 0 THEN '404' ELSE '200' END"""
+# The place of a nation; every tenth one has no city.
+_PLACE = {
+    "country_name": "n_name",
+    "region_name": "r_name",
+    "city_name": "CASE WHEN n_nationkey % 10 <> 3 THEN n_name END",
+    "latitude": "CAST(n_nationkey * 3 - 36 AS DOUBLE)",
+    "longitude": "CAST(n_nationkey * 14 - 170 AS DOUBLE)",
+}
 _ADDRESS = """concat('10.', shiftright(user_id, 16) % 256, '.',
  shiftright(user_id, 8) % 256, '.', user_id % 256)"""
 
@@ -49,12 +57,7 @@ def user_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region")
     places = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
         "n_nationkey",
-        """named_struct(
-            'country_name', n_name,
-            'region_name', r_name,
-            'city_name', CASE WHEN n_nationkey % 10 <> 3 THEN n_name END,
-            'latitude', CAST(n_nationkey * 3 - 36 AS DOUBLE),
-            'longitude', CAST(n_nationkey * 14 - 170 AS DOUBLE)) AS geoip""",
+        "named_struct(" + ", ".join(f"'{n}', {sql}" for n, sql in _PLACE.items()) + ") AS geoip",
     )
     customer = table(spark, sf_dir, "customer")
     return customer.join(places, customer.c_nationkey == places.n_nationkey).select(
@@ -110,6 +113,23 @@ def address_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inner.unionByName(_customer_ranges(spark, sf_dir, 600, "lo + (hi - lo) div 2"))
 
 
+def location_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`address_ranges` with the places of :func:`user_places`."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "n_name AS geo_city", *[f"{sql} AS {name}" for name, sql in _PLACE.items()]
+    )
+    return address_ranges(spark, sf_dir).join(places, "geo_city").drop("geo_city")
+
+
+def raw_lines(events: DataFrame) -> DataFrame:
+    """``(event_id, message)``: log lines as collected, some of them of another form."""
+    broken = F.when(
+        F.col("event_id") % 89 == 0, F.concat(F.lit("restart "), F.col("message"))
+    ).otherwise(F.col("message"))
+    return with_log_line(events).select("event_id", broken.alias("message"))
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
     """A table as a file stream; works for one file and for a folder of files."""
     schema = table(spark, sf_dir, name).schema
