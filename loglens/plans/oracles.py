@@ -485,6 +485,20 @@ FROM records r LEFT JOIN nation n ON city_name = CASE WHEN n_regionkey = 2 THEN
     "window_counts": _windows(10, 2),
     "minute_counts": _windows(60, 60),
     "stream_window_counts": _windows(10, 2),
+    "stream_late_rows": """WITH bounds AS (
+  SELECT min(epoch_us(ts)) AS low, max(epoch_us(ts)) AS high FROM events),
+parts AS (
+  SELECT ts, event_type, epoch_us(ts) AS us, least(3, (epoch_us(ts) - low) * 4 // (high - low + 1)
+    + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END) AS part
+  FROM events, bounds),
+marks AS (
+  SELECT part, max(max(us)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    - 600000000 AS mark
+  FROM parts GROUP BY part)
+SELECT strftime(ts, '%Y-%m-%d %H:%M') AS minute, event_type,
+  CASE WHEN (us // 60000000 + 1) * 60000000 <= mark THEN 'behind the watermark' ELSE 'counted' END
+    AS kind, count(*) AS n
+FROM parts JOIN marks USING (part) GROUP BY ALL""",
     "stream_ingest": f"""WITH {_PARSED}
 SELECT CASE WHEN event_type <> 'error' THEN verb END AS verb,
   CASE WHEN event_type = 'error' THEN 'malformed JSON' END AS reason, count(*) AS n

@@ -634,6 +634,46 @@ def stream_window_counts(spark, sf_dir):
     return _window_text(windows.latest_windows(spark, path, counts.schema, ("event_type",)))
 
 
+def _delayed_parts(events, parts=4):
+    """Events in order of time, cut in four; every tenth comes one part too late."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    bounds = events.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
+    on_time = F.expr("CAST(0 AS BIGINT)")
+    if bounds["low"] is not None:
+        on_time = F.floor((at - bounds["low"]) * parts / (bounds["high"] - bounds["low"] + 1))
+    delay = F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    placed = events.withColumn("part", F.least(F.lit(parts - 1), on_time + delay))
+    return [placed.filter(F.col("part") == i).drop("part") for i in range(parts)]
+
+
+def stream_late_rows(spark, sf_dir):
+    """Counts per minute and the rows behind the watermark: together all events."""
+    path, late, state, source = (
+        new_path(spark, n) for n in ("counted", "late", "late-state", "late-source")
+    )
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    for i, part in enumerate(_delayed_parts(events)):
+        # One run of the query, and so one batch, for each part.
+        part.write.parquet(f"{source}/{i}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{source}/*")
+        windows.write_windows_and_late_rows(
+            stream, path, late, state, ("event_type",), window="1 minute", slide="1 minute",
+            available_now=True,
+        ).awaitTermination()
+    kind = [events.schema["event_type"]]
+    counted = windows.summed_windows(spark, path, kind).select(
+        "window_start", "event_type", "n", F.lit("counted").alias("kind")
+    )
+    behind = (
+        spark.read.parquet(late)
+        .groupBy(F.date_trunc("minute", "ts").alias("window_start"), "event_type")
+        .agg(F.count("*").alias("n"))
+        .withColumn("kind", F.lit(windows.TOO_LATE))
+    )
+    minute = F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("minute")
+    return counted.unionByName(behind).select(minute, "event_type", "kind", "n")
+
+
 def _ingested_counts(spark, sf_dir, runs):
     """Counts after that many queries, each with its own checkpoint, wrote one table."""
     messages = _messages(stream_table(spark, sf_dir, "events"))
@@ -794,6 +834,7 @@ QUERIES = {
     "window_counts": window_counts,
     "minute_counts": minute_counts,
     "stream_window_counts": stream_window_counts,
+    "stream_late_rows": stream_late_rows,
     "stream_ingest": stream_ingest,
     "stream_ingest_twice": stream_ingest_twice,
     "stream_minute_rules": stream_minute_rules,

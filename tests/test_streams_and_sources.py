@@ -1,8 +1,11 @@
 import json
+from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField
 
 from loglens import session
 from loglens.operators import features
@@ -192,6 +195,55 @@ def test_late_rows_do_not_count(spark, tmp_path):
     assert [(r["kind"], r["n"]) for r in found] == [("a", 2)]
 
 
+def test_late_rows_are_written(spark, tmp_path, monkeypatch):
+    batches = [
+        [("2024-01-01 01:00:00", "a"), (None, "timeless")],
+        [("2024-01-01 01:00:01", "a"), ("2024-01-01 00:50:05", "b"), ("2024-01-01 00:49:55", "c")],
+        [("2024-01-01 00:00:00", "late"), ("2024-01-01 00:50:08", "edge")],
+        [("2024-01-01 02:00:00", "a"), ("2024-01-01 00:00:00", "late")],
+        [("2024-01-01 01:49:51", "edge"), ("2024-01-01 01:49:40", "late"), (None, "timeless")],
+    ]
+    expected, behind, newest = Counter(), Counter(), None
+    for batch in batches:
+        mark = newest and newest - timedelta(minutes=10)
+        for text, kind in batch:
+            if text is None:
+                behind[kind] += 1
+                continue
+            at = datetime.fromisoformat(text)
+            last = at.replace(second=at.second // 2 * 2)
+            starts = [last - timedelta(seconds=2 * i) for i in range(5)]
+            ends = [(s, s + timedelta(seconds=10)) for s in starts]
+            open_ = [(s, e, kind) for s, e in ends if mark is None or e > mark]
+            expected.update(open_)
+            behind[kind] += len(open_) < 5
+            newest = max(at, newest or at)
+    events = _event_stream(spark, str(tmp_path / "in"), batches)
+    own, late = (str(tmp_path / n) for n in ("own", "late"))
+
+    def run():
+        windows.write_windows_and_late_rows(
+            events, own, late, str(tmp_path / "t"), ("kind",), available_now=True
+        ).awaitTermination()
+
+    # One batch breaks off after its last output and is repeated.
+    remove = windows.remove_folder
+    monkeypatch.setattr(windows, "remove_folder", lambda *a: 1 / 0)
+    with pytest.raises(StreamingQueryException):
+        run()
+    monkeypatch.setattr(windows, "remove_folder", remove)
+    run()
+    found = windows.summed_windows(spark, own, [StructField("kind", StringType())])
+    assert {tuple(r)[:3]: r["n"] for r in found.collect()} == expected
+    rows = spark.read.parquet(late)
+    assert Counter(r["kind"] for r in rows.collect()) == +behind
+    # Five windows hold every row: counted and missed ones are all of them.
+    n = sum(len(b) for b in batches) - 2
+    missed = rows.agg(F.sum("missed")).first()[0]
+    assert found.agg(F.sum("n")).first()[0] + missed == 5 * n
+    assert rows.filter(F.col("reason") == windows.NO_TIME).count() == 2
+
+
 def test_minute_rules_follow_the_stream(spark, tmp_path):
     source = tmp_path / "in"
     csv, text, state = (str(tmp_path / n) for n in ("csv", "text", "state"))
