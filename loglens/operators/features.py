@@ -12,7 +12,6 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
     VectorIndexer,
-    Word2Vec,
 )
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -179,14 +178,3 @@ def vector_index(
 ):
     indexer = VectorIndexer(inputCol=vector, outputCol=out, maxCategories=max_categories)
     return indexer.fit(df).transform(df)
-
-
-def request_vectors(
-    df: DataFrame, column: str = "request", out: str = "requestWords", size=16, seed=11, **params
-):
-    """Word2Vec over the path segments of a request."""
-    words = df.withColumn("_words", F.filter(F.split(column, "/"), lambda w: w != ""))
-    model = Word2Vec(
-        inputCol="_words", outputCol=out, vectorSize=size, seed=seed, minCount=1, **params
-    ).fit(words)
-    return model.transform(words).drop("_words")

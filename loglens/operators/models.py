@@ -19,7 +19,9 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
@@ -150,12 +152,26 @@ def assign_nearest(df: DataFrame, vector, centers, out: str = "clusters") -> Dat
 
 
 def group_means(df: DataFrame, vector: str, group: str) -> DataFrame:
-    """Mean vector per group: ``(group, dim, mean)``."""
-    return (
-        df.select(group, F.posexplode(vector).alias("dim", "x"))
-        .groupBy(group, "dim")
-        .agg(F.avg(F.col("x").cast("double")).alias("mean"))
+    """Mean vector per group: ``(group, dim, mean)``; vectors are of one length.
+
+    Vectors are summed whole, one buffer a group and task. Rows without a vector do not
+    count, and a missing component does not count in its dimension.
+    """
+    value = F.transform(vector, lambda x: F.coalesce(x.cast("double"), F.lit(0.0)))
+    there = F.transform(vector, lambda x: F.when(x.isNull(), 0.0).otherwise(1.0))
+    total = Summarizer.metrics("sum")
+    sums = (
+        df.filter(F.col(vector).isNotNull() & (F.size(vector) > 0))
+        .select(group, array_to_vector(value).alias("_v"), array_to_vector(there).alias("_n"))
+        .groupBy(group)
+        .agg(
+            vector_to_array(total.summary(F.col("_v"))["sum"]).alias("_v"),
+            vector_to_array(total.summary(F.col("_n"))["sum"]).alias("_n"),
+        )
     )
+    # One row for each group and dimension, of the sums.
+    means = F.zip_with("_v", "_n", lambda v, n: v / F.nullif(n, F.lit(0.0)))
+    return sums.select(group, F.posexplode(means).alias("dim", "mean"))
 
 
 def centers_of(means: DataFrame, group: str) -> list:

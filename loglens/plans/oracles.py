@@ -332,6 +332,16 @@ SELECT event_id, verb, verbIndex AS "verbIndex", verbIndex AS f0 FROM indexed"""
     "vector_index": f"""WITH {_INDEXED}
 SELECT event_id, CAST(dense_rank() OVER (ORDER BY response) - 1 AS DOUBLE) AS x0,
   verbIndex AS x1 FROM indexed""",
+    "request_vectors": f"""WITH {_FEATURES}
+SELECT event_id, CAST(16 AS INTEGER) AS dimensions FROM feature_rows""",
+    "request_cooccurrences": f"""WITH {_FEATURES}, words AS (
+  SELECT list_filter(string_split(request, '/'), lambda w: w <> '') AS w, count(*) AS weight
+  FROM feature_rows GROUP BY request),
+places AS (SELECT w, weight, unnest(range(1, len(w) + 1)) AS i FROM words),
+pairs AS (SELECT w[i] AS a, unnest(w[i + 1 : i + 5]) AS b, weight FROM places)
+SELECT word, other, CAST(sum(weight) AS BIGINT) AS n FROM (
+  SELECT a AS word, b AS other, weight FROM pairs
+  UNION ALL SELECT b, a, weight FROM pairs) GROUP BY word, other""",
     "split_assignment": f"SELECT event_id, {_IS_TRAIN} AS is_train FROM events",
     "centroids_by_label": f"""WITH {_LABEL_MEANS}
 SELECT c AS label, dim, round(mean, 6) AS mean FROM centre0""",

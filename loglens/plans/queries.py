@@ -14,7 +14,15 @@ from loglens.functions.parsing import (
     strip_commas,
 )
 from loglens.functions.split import hash_split, is_train
-from loglens.operators import enrich, features, jsonflat, metrics, models, rules
+from loglens.operators import (
+    enrich,
+    features,
+    jsonflat,
+    metrics,
+    models,
+    rules,
+    token_vectors,
+)
 from loglens.operators.prepare import (
     accumulate,
     feature_rows,
@@ -283,10 +291,26 @@ def vector_index(spark, sf_dir):
 
 
 def request_vectors(spark, sf_dir):
-    made = features.request_vectors(_features(spark, sf_dir), maxIter=1)
+    rows = written(_features(spark, sf_dir).select("event_id", "request"), "requests")
+    made = token_vectors.request_vectors(rows, row_id="event_id")
     return made.select("event_id", F.size(vector_to_array("requestWords")).alias("dimensions"))
 
 
+def request_cooccurrences(spark, sf_dir):
+    """How often path segments stand side by side."""
+    requests = token_vectors.weighted_requests(_features(spark, sf_dir))
+    return token_vectors.cooccurrences(requests)
+
+
+def request_neighbours(spark, sf_dir):
+    """The nearest segments of the most frequent ones, by their vectors."""
+    rows = written(_features(spark, sf_dir).select("request"), "requests")
+    vectors = token_vectors.token_vectors(token_vectors.weighted_requests(rows))
+    return token_vectors.nearest_tokens(vectors).select(
+        "word", "rank", "neighbour", F.round("cosine", 6).alias("cosine")
+    )
+
+
 # --- clustering ------------------------------------------------------------------------
 
 
@@ -787,6 +811,8 @@ QUERIES = {
     "one_hot_verb": one_hot_verb,
     "vector_index": vector_index,
     "request_vectors": request_vectors,
+    "request_cooccurrences": request_cooccurrences,
+    "request_neighbours": request_neighbours,
     "split_assignment": split_assignment,
     "centroids_by_label": centroids_by_label,
     "assign_nearest": assign_nearest,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField
 
 from loglens import session
-from loglens.operators import features
+from loglens.operators import features, token_vectors
 from loglens.operators.lookup import lookup_join
 from loglens.operators.prepare import accumulate, feature_rows, has_rows
 from loglens.plans.queries import QUERIES
@@ -328,7 +328,7 @@ def test_presets_and_extras(spark):
     assert {r["verb"]: r["verbIndex"] for r in made.collect()} == {"GET": 0.0, "PUT": 1.0}
     model = features.ml_feature_model(df, "verb")
     assert {r["verb"]: r["verbIndex"] for r in model.transform(df).collect()} == {"GET": 0.0, "PUT": 1.0}
-    assert features.request_vectors(df, size=4).first()["requestWords"].size == 4
+    assert token_vectors.request_vectors(df, size=4).first()["requestWords"].size == 4
     scaled = features.standard_scale(made).collect()
     assert sum(r["featuresScaled"][0] for r in scaled) == pytest.approx(0)
 
