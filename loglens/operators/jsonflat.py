@@ -32,14 +32,19 @@ from pyspark.sql.types import (
 
 from loglens.functions import flatten
 from loglens.functions.parsing import strip_commas
+from loglens.operators.lookup import lookup_join
 from loglens.operators.ordering import running_totals
+from loglens.session import checkpointed, written
 
 # The batch function travels with its task, so executors need no copy of this package.
 for _module in (flatten, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(_module)
 
-# Columns of a wide table; the default of Spark's own pivot.
+# Columns of a wide table; the default of Spark's own pivot. CSV files have no such bound.
 MAX_COLUMNS = 10_000
+# Bytes of a CSV file, and keys that one chunk of its header holds.
+CSV_PART_BYTES = 128 * 1024 * 1024
+HEADER_KEYS = 1_000
 
 
 def _flatten_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -49,7 +54,7 @@ def _flatten_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     source, elements, reasons, collisions = [], [], [], []
     offsets, keys, values = [0], [], []
     for i, text in enumerate(texts):
-        objects, reason = flatten.parse_objects(text, decoder)
+        objects, reason = flatten.flat_objects(text, decoder)
         if reason is not None:
             source.append(i)
             elements.append(None)
@@ -58,8 +63,7 @@ def _flatten_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
             offsets.append(len(keys))
             continue
         escaped = "\\ud" in text or "\\uD" in text
-        for element, members in enumerate(objects):
-            flat, lost = flatten.flatten_object(members)
+        for element, (flat, lost) in enumerate(objects):
             if escaped:
                 flat = {flatten.whole_characters(k): flatten.whole_characters(v) for k, v in flat.items()}
             source.append(i)
@@ -193,3 +197,86 @@ def csv_lines(flat: DataFrame, doc_id: str, single_task_rows=None) -> DataFrame:
         single_task_rows=single_task_rows,
     )
     return header.unionByName(numbered.select("line_no", "line"))
+
+
+def _quoted(text: Column) -> Column:
+    """A CSV cell, quoted where it has to be."""
+    inside = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    special = text.rlike('[",\r\n]')
+    return F.when(special, F.concat(F.lit('"'), inside, F.lit('"'))).otherwise(text)
+
+
+def numbered_keys(flat: DataFrame, single_task_rows=None) -> DataFrame:
+    """``(key, number)`` of all keys in sorted order, from 1."""
+    keys = checkpointed(flat.select(F.explode(F.map_keys("flat")).alias("key")).distinct())
+    one = {"number": F.lit(1).cast("bigint")}
+    return running_totals(keys, [F.asc("key")], one, single_task_rows=single_task_rows)
+
+
+def csv_parts(
+    flat: DataFrame, part_bytes: int = CSV_PART_BYTES, single_task_rows=None
+) -> DataFrame:
+    """Lines that, in the order of each partition, are CSV files with a header.
+
+    ``flat`` should be a stored table: it is read more than once.
+    """
+    keys = written(numbered_keys(flat, single_task_rows), "csv-keys")
+    n_keys = keys.count()
+    rows = written(flat.select("flat").withColumn("row", F.monotonically_increasing_id()), "csv-rows")
+    sizes = rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.length(F.to_json("flat")).cast("bigint")).alias("bytes"),
+    ).first()
+    # A line has a comma for every key, whatever it holds.
+    whole = (sizes["bytes"] or 0) + sizes["rows"] * n_keys
+    parts = max(1, min(sizes["rows"], -(-whole // part_bytes)))
+
+    members = rows.select("row", F.explode("flat").alias("key", "value"))
+    placed = lookup_join(members, keys, "key", salt_by=("row", "key"))
+    filled = placed.groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("number", "value"))).alias("cells")
+    )
+    before = F.concat(F.array(F.lit(1).cast("bigint")), F.transform("cells", lambda c: c["number"]))
+    texts = F.zip_with(
+        F.col("cells"),
+        F.slice(before, 1, F.size("cells")),
+        lambda cell, last: F.concat(
+            F.repeat(F.lit(","), (cell["number"] - last).cast("int")),
+            _quoted(strip_commas(cell["value"])),
+        ),
+    )
+    behind = (F.lit(n_keys) - F.element_at(before, -1)).cast("int")
+    line = F.concat(F.array_join(texts, ""), F.repeat(F.lit(","), behind))
+    empty = F.repeat(F.lit(","), F.lit(max(0, n_keys - 1)))
+    lines = rows.select("row").join(filled.select("row", line.alias("line")), "row", "left")
+    lines = lines.select("row", F.coalesce("line", empty).alias("line"))
+    # The only cell of a line needs quotes to be seen.
+    lines = lines.withColumn("line", F.when(F.col("line") == "", '""').otherwise(F.col("line")))
+
+    # Chunks first: one task then joins texts, not keys. The header is as long as a line.
+    chunk = F.floor((F.col("number") - 1) / HEADER_KEYS)
+    chunks = keys.groupBy(chunk.alias("place")).agg(
+        F.array_sort(F.collect_list(F.struct("number", "key"))).alias("keys")
+    )
+    names = F.array_join(F.transform("keys", lambda k: _quoted(k["key"])), ",")
+    joined = chunks.select(F.struct("place", names.alias("names")).alias("chunk")).agg(
+        F.array_sort(F.collect_list("chunk")).alias("chunks")
+    )
+    header = joined.select(
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+        F.lit(0).alias("kind"),
+        F.lit(0).cast("bigint").alias("place"),
+        F.array_join(F.transform("chunks", lambda c: c["names"]), ",").alias("value"),
+    )
+    body = lines.select(
+        F.pmod(F.col("row") + F.shiftright("row", 33), F.lit(parts)).cast("int").alias("part"),
+        F.lit(1).alias("kind"),
+        F.col("row").alias("place"),
+        F.col("line").alias("value"),
+    )
+    return (
+        header.unionByName(body)
+        .repartitionById(parts, "part")
+        .sortWithinPartitions("kind", "place")
+        .select("value")
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loglens.functions.parsing import minute_stamp
-from loglens.operators.jsonflat import cells, flatten_json, wide_keys
+from loglens.operators.jsonflat import CSV_PART_BYTES, csv_parts, flatten_json
 from loglens.session import written
 
 
@@ -40,13 +40,16 @@ def rule_text_sink(rules: DataFrame, path: str, single_file: bool = False) -> No
     _by_minute(rules.select("minute", "rule"), single_file).text(path)
 
 
-def union_header_csv(flat: DataFrame, path: str, keys=None) -> None:
-    """Flattened documents as CSV whose header is the union of all keys.
+def union_header_csv(flat: DataFrame, path: str, part_bytes: int = CSV_PART_BYTES) -> None:
+    """Flattened documents as CSV whose header is the sorted union of all keys.
 
-    Only members are written, also ones named like a carried column.
+    Any number of keys: they are numbered in order by a distributed sort, a document meets the
+    numbers of its own members, and its line is those cells with the commas between them. Every
+    file begins with the header, a row as long as the lines. Keys never reach the driver.
+    Lines are written as they are, so white space in values is kept. Only members are
+    written, also ones named like a carried column.
     """
-    rows = flat.select(*cells(wide_keys(flat, keys)))
-    rows.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    csv_parts(flat, part_bytes).write.mode("overwrite").text(path)
 
 
 def json_to_csv(df: DataFrame, doc_id: str, text: str, path: str) -> DataFrame:

@@ -5,8 +5,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from loglens import session
+from loglens.functions import flatten as event_reader
 from loglens.operators import jsonflat
-from loglens.sinks.files import json_to_csv
+from loglens.sinks.files import json_to_csv, union_header_csv
 
 
 def brute_force(value):
@@ -172,7 +174,102 @@ def test_text_details(spark):
         "t": "true",
     }
     assert rows[1, 0] == ({"k": "2"}, 1)
-    assert bad[2] == "malformed JSON" and bad[3] == "nested too deeply to parse"
+    assert bad[2] == "malformed JSON" and bad[3] == "neither an object nor an array of objects"
+
+
+def _event_result(text):
+    try:
+        return event_reader.read_objects(text)
+    except ValueError:
+        return None, event_reader.MALFORMED
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    document=_values | st.lists(_objects, max_size=3),
+    cut=st.integers(0, 60),
+    put=st.sampled_from(["", ",", "}", "]", '"', "1", " "]),
+    indent=st.sampled_from([None, 1]),
+)
+def test_event_reader_equals_the_tree(document, cut, put, indent):
+    decoder = event_reader.make_decoder()
+    text = json.dumps(document, indent=indent).replace('"b"', '"a"')
+    for t in (text, text[:cut] + put + text[cut + 1 :]):
+        assert _event_result(t) == event_reader.flat_objects(t, decoder)
+
+
+def test_any_depth(spark):
+    depth = 100_000
+    rows, bad = flatten(
+        spark,
+        '{"k":' * depth + "[[1]]" + "}" * depth,
+        '{"k":' + "[" * depth + "7" + "]" * depth + "}",
+        '{"k":' * depth + "1" + "}" * (depth - 1),
+    )
+    assert rows[0, 0] == ({"k01": "1"}, 0)
+    ((key, value),) = rows[1, 0][0].items()
+    assert key == "k" + "0" * (depth - 1) + "1" and value == "7"
+    assert bad == {2: "malformed JSON"}
+
+
+def test_long_document_without_a_tree(monkeypatch):
+    text = json.dumps({"r": [{"i": i, "x": {"y": [i, "null", None]}} for i in range(20_000)]})
+    decoder = event_reader.make_decoder()
+    plain = event_reader.flat_objects(text, decoder)
+    monkeypatch.setattr(event_reader, "WHOLE_TEXT", 1_000)
+    monkeypatch.setattr(event_reader, "parse_objects", None)
+    assert event_reader.flat_objects(text, decoder) == plain
+
+
+def _written(spark, tmp_path, documents, **options):
+    df = spark.createDataFrame(list(enumerate(documents)), "id int, doc string")
+    flat, _ = jsonflat.flatten_json(df, "id", "doc")
+    path = str(tmp_path / "out")
+    union_header_csv(session.written(flat, "flat"), path, **options)
+    back = spark.read.option("header", True).option("multiLine", True).option("maxColumns", 60_000).csv(path)
+    return [p for p in (tmp_path / "out").glob("part*") if p.stat().st_size], back
+
+
+def test_any_number_of_keys(spark, tmp_path):
+    documents = [json.dumps({f"k{(i * 500 + j):05}": f"{i}-{j}" for j in range(500)}) for i in range(100)]
+    files, back = _written(spark, tmp_path, documents, part_bytes=2_000_000)
+    assert len(files) > 1
+    assert back.columns == [f"k{i:05}" for i in range(50_000)]
+    lines = [line for f in files for line in f.read_text().split("\n")[1:] if line]
+    assert len(lines) == 100 and {line.count(",") for line in lines} == {49_999}
+    for line in lines:
+        cells = line.split(",")
+        filled = [i for i, cell in enumerate(cells) if cell]
+        first = filled[0]
+        assert filled == list(range(first, first + 500)) and first % 500 == 0
+        assert [cells[i] for i in filled] == [f"{first // 500}-{j}" for j in range(500)]
+
+
+def test_cells_are_read_back_whole(spark, tmp_path):
+    documents = [
+        json.dumps({"a": 'say "x"\\ \n end', "b,c": "1,2", "B": "  wide  "}),
+        json.dumps({}),
+        json.dumps({"b": "", "z\"": "back\\slash"}),
+    ]
+    _, back = _written(spark, tmp_path, documents)
+    # The reader tells columns apart that differ in case only.
+    assert [c[:1] for c in back.columns] == ["B", "a", "b", "b", "z"]
+    rows = sorted((tuple(r) for r in back.collect()), key=repr)
+    assert sorted(rows, key=repr) == sorted(
+        [
+            ("  wide  ", 'say "x"\\ \n end', None, "12", None),
+            (None,) * 5,
+            (None, None, None, None, "back\\slash"),
+        ],
+        key=repr,
+    )
+
+
+def test_one_key_and_none(spark, tmp_path):
+    _, back = _written(spark, tmp_path, ['{"a":"x"}', "{}", '{"a":""}'])
+    assert back.columns == ["a"] and back.count() == 3
+    files, _ = _written(spark, tmp_path / "none", ['{"a":null}', "{}"])
+    assert all(set(f.read_text()) <= set('"\n') for f in files)
 
 
 def test_batches_are_cut_by_size(spark, monkeypatch):
