@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,18 +42,6 @@ def pick(df: DataFrame, **columns) -> DataFrame:
     )
 
 
-def packed_rows(df: DataFrame) -> DataFrame:
-    """``(row, *)``: all columns in one struct with fields by position."""
-    names = df.columns
-    plain = df.toDF(*[f"_c{i}" for i in range(len(names))])
-    return plain.select(F.struct(*plain.columns).alias("row"))
-
-
-def unpacked_rows(rows: DataFrame, names) -> DataFrame:
-    """Back from :func:`packed_rows`, under the former names."""
-    return rows.select(*[f"row._c{i}" for i in range(len(names))]).toDF(*names)
-
-
 def text_slices(batch: pa.RecordBatch, column: str, limit=SLICE_BYTES):
     """Zero-copy slices of a batch with a bounded number of text bytes.
 
@@ -110,6 +99,28 @@ def placed_rows(rows: DataFrame, group: str, order) -> DataFrame:
     )
 
 
+def text_function(make, returns):
+    """A column function of a text column; ``make()`` gives ``texts -> Arrow array``.
+
+    Python sees the texts only, in bounded slices: the other columns of a row wait in the
+    JVM, which may spill them. It is evaluated once a row.
+    """
+
+    def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        function = make()
+        for texts in arrays:
+            batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+            made = [function(texts_of(part, "text")) for part in text_slices(batch, "text")]
+            yield pa.concat_arrays(made) if made else function([])
+
+    return F.arrow_udf(run, returnType=returns).asNondeterministic()
+
+
+def by_position(df: DataFrame) -> DataFrame:
+    """Columns named by their place, whatever their names; ``toDF`` gives them back."""
+    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+
+
 def components(edges: DataFrame, max_rounds=64) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``: the least node it reaches.
 

@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglens.llm.common import (
-    packed_rows,
+    by_position,
     pick,
     ship,
+    text_function,
     text_slices,
     texts_of,
-    unpacked_rows,
     written,
 )
 
@@ -150,7 +150,7 @@ def _verify_chunks(docs: DataFrame, text) -> None:
 def distinct_documents(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     names = docs.columns
-    at_id, at_text = (f"row._c{names.index(c)}" for c in (doc_id, text))
+    at_id, at_text = (f"_c{names.index(c)}" for c in (doc_id, text))
     groups = (
         exact_groups(docs, doc_id, text)
         .filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
@@ -158,11 +158,16 @@ def distinct_documents(docs: DataFrame, doc_id="doc_id", text="text") -> DataFra
         .agg(F.first("keep_id").alias("keep_id"), F.count("*").alias("holders"))
     )
     groups = written(groups, "recipe-groups")
-    rows = with_recipes(packed_rows(docs).select("row", F.col(at_text).alias("text")))
+
+    def recipes():
+        return lambda texts: pa.array([recipe(t.encode()) for t in texts], pa.binary())
+
+    recipe_of = text_function(recipes, "binary")
+    rows = by_position(docs).withColumn("recipe", recipe_of(F.col(at_text)))
     kept = rows.join(groups, "recipe").filter(F.col(at_id).eqNullSafe(F.col("keep_id")))
     if not groups.filter("holders > 1").isEmpty():
         kept = kept.dropDuplicates(["recipe"])
-    return unpacked_rows(kept, names)
+    return kept.select(*[f"_c{i}" for i in range(len(names))]).toDF(*names)
 
 
 def op9_query(spark, sf_dir) -> DataFrame:

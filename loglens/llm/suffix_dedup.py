@@ -34,14 +34,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from loglens.llm.common import (
-    packed_rows,
     pick,
     ship,
     text_slices,
     texts_of,
-    unpacked_rows,
     written,
 )
 
@@ -450,9 +449,8 @@ class RepeatedBytes:
 
     def _packed_texts(self, rows: DataFrame) -> DataFrame:
         kept = [f for f in rows.schema.fields if f.name != "text"]
-        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
-        schema = ", ".join([*fields, "node bigint", "packed binary", "n_bytes bigint"])
-        return rows.mapInArrow(_texts(self.salt), schema)
+        made = StructType.fromDDL("node bigint, packed binary, n_bytes bigint")
+        return rows.mapInArrow(_texts(self.salt), StructType([*kept, *made.fields]))
 
     def repeated_anchors(self) -> DataFrame:
         """``(hash, node, place, digest)`` of anchors that occur more than once."""
@@ -553,11 +551,10 @@ class RepeatedBytes:
         rows = self._packed_texts(self.rows).join(found, "node", "left")
         kept = [f for f in self.rows.schema.fields if f.name != "text"]
         order = ["node", *[f.name for f in kept], "packed", "n_bytes", "spans", "whole"]
-        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
-        schema = ", ".join(
-            ["node bigint", *fields, "n_bytes bigint"]
-            + ["spans array<struct<from:bigint,to:bigint>>", "kept binary"]
-        )
+        made = StructType.fromDDL(
+            "node bigint, n_bytes bigint, spans array<struct<from:bigint,to:bigint>>, kept binary"
+        ).fields
+        schema = StructType([made[0], *kept, *made[1:]])
         return rows.select(*order).mapInArrow(_remove, schema)
 
 
@@ -574,7 +571,14 @@ def documents_without_repeats(docs: DataFrame, text="text", size="n_chars", salt
     there is one, gets the new number of characters; null texts stay null.
     """
     names = docs.columns
-    rows = packed_rows(docs).select("row", F.col(f"row._c{names.index(text)}").alias("text"))
+    plain = [f"_c{i}" for i in range(len(names))]
+    at_text = plain[names.index(text)]
+    # The text goes once through Python; whether it was null goes with the other columns.
+    others = [c for c in plain if c != at_text]
+    rows = docs.toDF(*plain).select(
+        F.struct(*others, F.col(at_text).isNotNull().alias("there")).alias("row"),
+        F.col(at_text).alias("text"),
+    )
     found = RepeatedBytes(rows, salt).removed()
 
     def run(batches):
@@ -584,15 +588,14 @@ def documents_without_repeats(docs: DataFrame, text="text", size="n_chars", salt
                 [batch.column(0), pa.array(texts, pa.string())], names=["row", "short"]
             )
 
-    row_type = rows.schema["row"].dataType.simpleString()
-    short = found.select("row", "kept").mapInArrow(run, f"row {row_type}, short string")
-    at_text = F.col(f"row._c{names.index(text)}")
-    new = F.when(at_text.isNotNull(), F.col("short"))
-    row = F.col("row").withField(f"_c{names.index(text)}", new)
+    schema = StructType([rows.schema["row"], StructField("short", StringType())])
+    short = found.select("row", "kept").mapInArrow(run, schema)
+    columns = {c: F.col(f"row.{c}") for c in others}
+    columns[at_text] = F.when(F.col("row.there"), F.col("short"))
     if size in names:
         kind = docs.schema.fields[names.index(size)].dataType
-        row = row.withField(f"_c{names.index(size)}", F.length(new).cast(kind))
-    return unpacked_rows(short.select(row.alias("row")), names)
+        columns[plain[names.index(size)]] = F.length(columns[at_text]).cast(kind)
+    return short.select(*[columns[c].alias(c) for c in plain]).toDF(*names)
 
 
 def op8_query(spark, sf_dir) -> DataFrame:

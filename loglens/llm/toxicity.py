@@ -39,12 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loglens.llm.common import (
-    packed_rows,
+    by_position,
     pick,
     ship,
+    text_function,
     text_slices,
     texts_of,
-    unpacked_rows,
     written,
 )
 from loglens.llm.labelled import held_out, training_texts
@@ -453,9 +453,16 @@ def score_documents(docs: DataFrame, state, doc_id="doc_id", text="text") -> Dat
 def without_toxic(docs: DataFrame, state, threshold=0.5, text="text") -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with all their columns."""
     names = docs.columns
-    rows = packed_rows(docs)
-    scored = _with_score(rows.select("row", F.col(f"row._c{names.index(text)}").alias("text")), state)
-    return unpacked_rows(scored.filter(F.col("score") < threshold), names)
+
+    def scores():
+        scorer = Scorer(*state) if state else None
+        return lambda texts: pa.array(score_batch(scorer, texts), pa.float64())
+
+    rows = by_position(docs)
+    scored = rows.withColumn(
+        "score", text_function(scores, "double")(F.col(f"_c{names.index(text)}"))
+    )
+    return scored.filter(F.col("score") < threshold).drop("score").toDF(*names)
 
 
 def op3_query(spark, sf_dir) -> DataFrame:
