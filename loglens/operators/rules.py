@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loglens.operators.ordering import running_totals
+from loglens.session import checkpointed
+
 # Smallest score a rule may have, and the texts of a rule.
 RULE_THRESHOLD = 0.0
 IF_TEXT = "IF "
@@ -55,6 +58,18 @@ def order_by_metric(df: DataFrame, metric: str = "precision", ties=()) -> DataFr
     return df.orderBy(F.asc(metric), *[F.asc(t) for t in ties])
 
 
+def ranked_by_metric(
+    df: DataFrame, metric: str = "precision", ties=(), single_task_rows=None
+) -> DataFrame:
+    """Adds ``rank``, the place (from 1) in the order of :func:`order_by_metric`.
+
+    ``ties`` must make the order total. The table is stored once; no task sorts all of it.
+    """
+    order = [F.asc(metric), *[F.asc(t) for t in ties]]
+    one = {"rank": F.lit(1).cast("bigint")}
+    return running_totals(checkpointed(df), order, one, single_task_rows=single_task_rows)
+
+
 def generate_rules(
     df: DataFrame,
     antecedents=("verb",),

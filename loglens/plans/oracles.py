@@ -432,6 +432,13 @@ SELECT event_id, {_rule(("verb",))} AS rule FROM scored""",
 confident AS (SELECT *, round(n / total, 6) AS "precision" FROM counted)
 SELECT {_rule(("verb", "response"))} AS rule, n AS support FROM confident
 WHERE "precision" >= 0.5""",
+    "rules_in_order": f"""WITH {_CLUSTERED}, counted AS (
+  SELECT verb, response, clusters, count(*) AS n,
+    sum(count(*)) OVER (PARTITION BY verb, response) AS total
+  FROM clustered GROUP BY verb, response, clusters),
+confident AS (SELECT *, round(n / total, 6) AS "precision" FROM counted)
+SELECT row_number() OVER (ORDER BY "precision", verb, response, clusters) AS rank,
+  {_rule(("verb", "response"))} AS rule, "precision" FROM confident""",
     "minute_rule_support": f"""WITH {_PRECISION}
 SELECT strftime(ts, '%Y-%m-%d--%H-%M') AS minute, {_rule(("verb",))} AS rule,
   count(*) AS support

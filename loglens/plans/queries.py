@@ -460,9 +460,11 @@ def metrics_weighted(spark, sf_dir):
 
 def classifier_evaluator(spark, sf_dir):
     pairs = _quality_pairs(spark, sf_dir)
-    names = ("accuracy", "precision", "recall")
-    row = [round(metrics.evaluate_classifier(pairs, name), 9) for name in names]
-    return spark.range(1).select(*[F.lit(x).alias(name) for x, name in zip(row, names)])
+    return metrics.weighted_metrics(pairs).select(
+        F.round("accuracy", 9).alias("accuracy"),
+        F.round("weighted_precision", 9).alias("precision"),
+        F.round("weighted_recall", 9).alias("recall"),
+    )
 
 
 def correct_predictions(spark, sf_dir):
@@ -504,8 +506,8 @@ def rules_per_row(spark, sf_dir):
     return ordered.select("event_id", "rule")
 
 
-def rules_filtered(spark, sf_dir):
-    """Each rule scored by its own confidence, kept from one half upward."""
+def _confident_rules(spark, sf_dir, threshold):
+    """Rules scored by their own confidence, the share of the cluster among their rows."""
     counts = clustered_rows(spark, sf_dir).groupBy("verb", "response", "clusters").agg(
         F.count("*").alias("n")
     )
@@ -515,10 +517,19 @@ def rules_filtered(spark, sf_dir):
     scored = both.select("verb", "response", "total", F.inline("c")).withColumn(
         "precision", F.round(F.col("n") / F.col("total"), 6)
     )
-    made = rules.generate_rules(
-        scored, ("verb", "response"), threshold=0.5, weight="n"
-    )
-    return made.select("rule", "support")
+    return rules.generate_rules(scored, ("verb", "response"), threshold=threshold, weight="n")
+
+
+def rules_filtered(spark, sf_dir):
+    """Rules that hold for half of their rows or more."""
+    return _confident_rules(spark, sf_dir, 0.5).select("rule", "support")
+
+
+def rules_in_order(spark, sf_dir):
+    """All rules with their place in the order of their scores."""
+    made = _confident_rules(spark, sf_dir, rules.RULE_THRESHOLD)
+    ranked = rules.ranked_by_metric(made, ties=("verb", "response", "clusters"))
+    return ranked.select("rank", "rule", "precision")
 
 
 def minute_rule_support(spark, sf_dir):
@@ -844,6 +855,7 @@ QUERIES = {
     "rules_text": rules_text,
     "rules_per_row": rules_per_row,
     "rules_filtered": rules_filtered,
+    "rules_in_order": rules_in_order,
     "minute_rule_support": minute_rule_support,
     "log_rules": log_rules,
     "log_rules_tree": log_rules_tree,

@@ -16,8 +16,9 @@ def with_minute(df: DataFrame, ts: Column | None = None) -> DataFrame:
 
 
 def _by_minute(df: DataFrame, single_file: bool):
-    if single_file:
-        df = df.coalesce(1)
+    # Rows of a minute come together in tasks of the advisory size: few rows give one file, a
+    # minute that holds most rows is split.
+    df = df.coalesce(1) if single_file else df.hint("rebalance", "minute")
     return (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

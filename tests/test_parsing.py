@@ -4,7 +4,7 @@ from loglens.functions import parsing
 from loglens.functions.split import hash_split, random_split
 from loglens.schema import LOG_SCHEMA
 
-# The public sample line of a combined access log.
+# The public sample line of a combined access log; its fields below are golden values.
 SAMPLE = (
     '83.149.9.216 - - [04/Jan/2015:05:13:42 +0000] '
     '"GET /presentations/logstash-monitorama-2013/images/kibana-search.png HTTP/1.1" 200 203023 '

@@ -75,3 +75,30 @@ def test_second_run_of_a_minute_replaces_the_first(spark, tmp_path):
 def test_current_minute(spark):
     minute = with_minute(spark.range(1)).first()["minute"]
     assert len(minute) == 17 and minute[10:12] == "--"
+
+
+def test_rank_is_the_order(spark):
+    rows = [("a", 0.5), ("b", 0.25), ("c", 0.5), ("d", float("nan")), ("e", 0.1)]
+    df = spark.createDataFrame(rows, "verb string, precision double")
+    for limit in (None, 1):
+        found = rules.ranked_by_metric(df, ties=("verb",), single_task_rows=limit).collect()
+        assert {r["verb"]: r["rank"] for r in found} == {"e": 1, "b": 2, "a": 3, "c": 4, "d": 5}
+
+
+def test_files_follow_the_bytes_of_a_minute(spark, tmp_path):
+    """Small minutes have one file each; a minute with most rows is split."""
+    rows = spark.range(0, 40_000, 1, 16).selectExpr(
+        "CASE WHEN id % 20 = 0 THEN concat('m', id % 3) ELSE 'hot' END AS minute",
+        "sha2(CAST(id AS STRING), 256) AS verb", "id AS clusters", "0.5D AS precision",
+    )
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "400k")
+    try:
+        cluster_csv_sink(rows, str(tmp_path / "csv"))
+    finally:
+        spark.conf.unset(name)
+    held = {p.name: len(list(p.glob("part-*"))) for p in (tmp_path / "csv").glob("minute=*")}
+    assert held.pop("minute=hot") > 3
+    assert set(held.values()) == {1} and len(held) == 3
+    back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    assert back.count() == 40_000
