@@ -30,6 +30,9 @@ from loglens.llm.common import pick, ship, text_slices, texts_of, worker_cache,
 
 CAPACITY = 1024
 END_TOKEN = 2
+# A text with a longer run of white space is encoded by the library itself.
+LONG_SPACE = 100_000
+_SPACES = re.compile(r"\s+")
 # Pieces that one task packs.
 PARTITION_PIECES = 50_000
 
@@ -79,8 +82,20 @@ def load_encoder(path: str, encode_special_tokens: bool):
     stands between them; with ``encode_special_tokens`` (its name there) it reads
     their letters as text.
     """
-    plain = load_tokenizer(path).encode_ordinary
+    ranked = load_tokenizer(path).encode_ordinary
     cache = worker_cache()
+
+    def plain(text):
+        if len(text) <= LONG_SPACE or max(map(len, _SPACES.findall(text)), default=0) <= LONG_SPACE:
+            return ranked(text)
+        # The ranked encoder's splitting rule runs out of stack on very long white space.
+        if ("library", path) not in cache:
+            from tokenizers import Tokenizer
+
+            cache["library", path] = Tokenizer.from_file(path)
+            cache["library", path].encode_special_tokens = True
+        return cache["library", path].encode(text, add_special_tokens=False).ids
+
     if ("added", path) not in cache:
         import json
 
