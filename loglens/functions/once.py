@@ -1,4 +1,4 @@
-"""Evaluate a costly expression exactly once per row."""
+"""Evaluate a costly expression once per row."""
 
 from __future__ import annotations
 
@@ -15,3 +15,14 @@ def evaluate_once(df: DataFrame, name: str, expression: Column) -> DataFrame:
     output of a generator below that generator.
     """
     return df.select("*", F.explode(F.array(expression)).alias(name))
+
+
+def at_most_once(expression: Column) -> Column:
+    """``expression``, never repeated by the optimizer, and left out where nothing uses it.
+
+    The partition number makes it non-deterministic in name only: projections that are
+    used several times stay, filters on it stay above, and column pruning still drops it.
+    Filters on other columns stay above as well, so put those before it; where they
+    have to pass, take :func:`evaluate_once`, which cannot be pruned.
+    """
+    return F.when(F.spark_partition_id() >= 0, expression)

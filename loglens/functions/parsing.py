@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loglens.functions.once import evaluate_once
+from loglens.functions.once import at_most_once
 
 # The field names of a combined log line and the pattern that
 # yields them, one capturing group per field, in this order.
@@ -54,8 +54,12 @@ def combined_parts(message: Column) -> Column:
 
 
 def parse_combined_log(lines: DataFrame, message: str = "message") -> DataFrame:
-    """Add the twelve fields and ``parsed``; fields not captured are NULL."""
-    parts = evaluate_once(lines, "_parts", combined_parts(F.col(message)))
+    """Add the twelve fields and ``parsed``; fields not captured are NULL.
+
+    A plan that uses none of them does not match the pattern, any other does so once.
+    Filters on columns of ``lines`` belong before it.
+    """
+    parts = lines.withColumn("_parts", at_most_once(combined_parts(F.col(message))))
     parsed = F.coalesce(F.size("_parts") == len(COMBINED_FIELDS), F.lit(False))
     fields = {
         name: F.nullif(F.when(parsed, F.get("_parts", F.lit(i))), F.lit(""))

@@ -113,3 +113,20 @@ def test_carriage_return_is_not_part_of_the_agent(spark):
     line = '1.2.3.4 - - [04/Jan/2024:05:13:42 +0000] "GET /x HTTP/1.0" 200 5 "-" "agent"\r'
     row = parsing.parse_combined_log(spark.createDataFrame([(line,)], "message string")).first()
     assert row["parsed"] and row["agent"] == '"agent"'
+
+
+def _patterns(df):
+    """How often the optimized plan replaces the pattern."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(")
+
+
+def test_pattern_runs_once_or_not_at_all(spark, tmp_path):
+    lines = spark.createDataFrame([(1, SAMPLE), (2, "no line")], "i int, message string")
+    lines.write.parquet(str(tmp_path / "lines"))
+    parsed = parsing.parse_combined_log(spark.read.parquet(str(tmp_path / "lines")))
+    assert _patterns(parsed.agg(F.count("*"))) == 0
+    assert _patterns(parsed.select("i").distinct()) == 0
+    several = parsed.filter("parsed and verb = 'GET' and response = '200'").select("verb", "agent")
+    for used in (parsed, several, parsed.groupBy("parsed", "verb").count()):
+        assert _patterns(used) == 1
+    assert parsed.count() == 2 and [r["verb"] for r in several.collect()] == ["GET"]
