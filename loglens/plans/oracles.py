@@ -284,6 +284,15 @@ FROM records GROUP BY verb, city_name""",
 SELECT event_id, CASE WHEN event_type <> 'error' THEN verb END AS verb,
   CASE WHEN event_type <> 'error' THEN request END AS request,
   CASE WHEN event_type = 'error' THEN 'malformed JSON' END AS reason FROM parsed""",
+    "message_log_records": f"""WITH {_PARSED}
+SELECT event_id, verb, request, response, count(*) AS times, count(*) AS places
+FROM parsed GROUP BY event_id, verb, request, response""",
+    "message_log_offsets": """WITH dealt AS (
+  SELECT CAST(CAST(concat('0x', substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % 8
+    AS INTEGER) AS "partition" FROM events)
+SELECT 'logstash_logs' AS topic, "partition", count(*) AS n, count(*) AS places,
+  CAST(0 AS BIGINT) AS first_offset, count(*) - 1 AS last_offset
+FROM dealt GROUP BY 2""",
     "kafka_payload": f"""WITH {_PARSED}
 SELECT CAST(event_id AS VARCHAR) AS key, concat('{{"event_id":', event_id, ',"clientip":"',
   clientip, '","verb":"', verb, '","response":"', response, '"}}') AS value FROM parsed""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField
 
 from loglens.functions.parsing import (
     minute_stamp,
@@ -34,7 +35,7 @@ from loglens.plans.log_analysis import analyse_logs
 from loglens.schema import LOG_SCHEMA
 from loglens.session import new_path, spread_small_input, written
 from loglens.sinks import files
-from loglens.sources import kafka, logs, synthetic
+from loglens.sources import kafka, logs, message_log, synthetic
 from loglens.sources.tables import (
     address_ranges,
     event_places,
@@ -638,6 +639,50 @@ def geocode_sql_functions(spark, sf_dir):
 # --- windows and streams ---------------------------------------------------------------------------
 
 
+def _logged_messages(spark, sf_dir):
+    """A message log of the events, and the table of a stream that read it.
+
+    Writer and reader run twice over one checkpoint each: events of odd ids come second.
+    """
+    log, state, table_path, rest, read_state, source = (
+        new_path(spark, n)
+        for n in ("log", "log-state", "log-table", "log-rest", "log-read", "log-source")
+    )
+    events = table(spark, sf_dir, "events")
+    for i in range(2):
+        events.filter(F.col("event_id") % 2 == i).write.parquet(f"{source}/{i}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{source}/*")
+        records = parse_combined_log(with_log_line(stream).select("event_id", "message"))
+        message_log.message_log_sink(
+            records.select("event_id", "verb", "request", "response"), log, state, key="event_id"
+        ).trigger(availableNow=True).start().awaitTermination()
+        ingest.ingest_logs(
+            message_log.message_log_source(spark, log), table_path, rest, read_state,
+            keep=("key", "row_id"), available_now=True,
+        ).awaitTermination()
+    kept = [StructField(n, StringType()) for n in ("key", "row_id")]
+    return log, ingest.read_ingested(spark, table_path, keep_fields=kept)
+
+
+def message_log_records(spark, sf_dir):
+    """Every event once, through a message log and a restart of both its ends."""
+    read = _logged_messages(spark, sf_dir)[1]
+    return read.groupBy(
+        F.col("key").cast("bigint").alias("event_id"), "verb", "request", "response"
+    ).agg(F.count("*").alias("times"), F.count_distinct("row_id").alias("places"))
+
+
+def message_log_offsets(spark, sf_dir):
+    """Messages and offsets of each partition of the log."""
+    stored = message_log.read_messages(spark, _logged_messages(spark, sf_dir)[0])
+    return stored.groupBy("topic", "partition").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("offset").alias("places"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+    )
+
+
 def _window_text(df):
     stamp = "yyyy-MM-dd HH:mm:ss"
     return df.select(
@@ -803,6 +848,8 @@ QUERIES = {
     "json_file_records": json_file_records,
     "json_strings_to_table": json_strings,
     "kafka_payload": broker_payload,
+    "message_log_records": message_log_records,
+    "message_log_offsets": message_log_offsets,
     "cluster_csv_files": cluster_csv_files,
     "rule_text_files": rule_text_files,
     "synthetic_log_profile": synthetic_log_profile,

@@ -78,6 +78,24 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     store.delete(folder, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def publish_folder(spark: SparkSession, staged: str, final: str) -> None:
+    """Gives a finished folder its name at once, so that readers see all of it or nothing.
+
+    Needs a store that renames folders atomically, and both paths in that store.
+    """
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    target = make(final)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(target.getParent())
+    if not store.rename(make(staged), target):
+        raise OSError(f"cannot rename {staged} to {final}")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor."""
     shared_dir(df.sparkSession)
