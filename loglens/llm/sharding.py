@@ -137,7 +137,7 @@ def op7_query(spark, sf_dir) -> DataFrame:
     )
 
 
-# The limit and the 20 bits cover all given tables; deeper bits never come up there.
+# All depths; pieces of buckets that no bit splits are left to the brute-force test.
 OP7_SQL = f"""
 WITH sized AS (
   SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
@@ -145,16 +145,16 @@ WITH sized AS (
            AS bits
   FROM documents
 ),
-levels AS (SELECT CAST(range AS INTEGER) AS depth FROM range(0, 21)),
+levels AS (SELECT CAST(range AS INTEGER) AS depth FROM range(0, {HASH_BITS + 1})),
 prefixes AS (
-  SELECT depth, bits >> (60 - depth) AS bucket, sum(n_bytes) AS total
+  SELECT depth, bits >> ({HASH_BITS} - depth) AS bucket, sum(n_bytes) AS total
   FROM sized, levels GROUP BY ALL HAVING sum(n_bytes) <= {SHARD_BYTES}
 ),
 found AS (
   SELECT s.doc_id, s.n_bytes, p.depth, p.bucket,
          row_number() OVER (PARTITION BY s.doc_id ORDER BY p.depth) AS nth
   FROM sized s, levels l, prefixes p
-  WHERE p.depth = l.depth AND p.bucket = s.bits >> (60 - l.depth)
+  WHERE p.depth = l.depth AND p.bucket = s.bits >> ({HASH_BITS} - l.depth)
 )
 SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, depth, bucket, CAST(0 AS BIGINT) AS piece
 FROM found WHERE nth = 1

@@ -489,6 +489,18 @@ def _held_out_accuracy(scored, labels, label, cut, folds, fold):
     return row.first()["a"]
 
 
+@pytest.mark.parametrize("n1, n0", [(5_000, 5_000), (6_000, 4_000), (7_919, 12), (1, 40), (1, 1)])
+def test_preference_pairs_differ_and_use_every_document(spark, n1, n0):
+    drawn = min(quality.PAIRS, 8 * max(n1, n0))
+    pairs = quality.preference_pairs(spark.range(drawn), n1, n0).collect()
+    assert len({(r["hi"], r["lo"]) for r in pairs}) == len(pairs)
+    assert {r["hi"] for r in pairs} <= set(range(n1)) and {r["lo"] for r in pairs} <= set(range(n0))
+    larger = "hi" if n1 >= n0 else "lo"
+    assert {r[larger] for r in pairs} == set(range(max(n1, n0)))
+    # As many pairs as there are, or nearly as many as were drawn.
+    assert len(pairs) >= 0.6 * min(drawn, n1 * n0)
+
+
 def test_quality_on_held_out_rows(docs, corpus):
     state = quality.train(*corpus)
     scored = quality.score_documents(corpus[0], state)
