@@ -185,6 +185,55 @@ def test_frequent_tokens_and_matches_change_no_result(docs, monkeypatch):
         assert _sorted(found) == _sorted(jaccard(ROWS))
 
 
+def _last_round(monkeypatch, table):
+    """The result, and the pairs that the last round verified."""
+    verified, pairs = shingle_join.JaccardJoin.verified, []
+
+    def counted(self, rows):
+        pairs.append(rows.count())
+        return verified(self, rows)
+
+    monkeypatch.setattr(shingle_join.JaccardJoin, "verified", counted)
+    return shingle_join.jaccard_components(table).collect(), pairs[-1]
+
+
+def test_near_copies_without_links_are_not_paired(spark, monkeypatch):
+    # Each is two edits away from a text that is not in the table.
+    copies = [_edited(BASE, 100 + i, 2) for i in range(120)]
+    linked_to_one = [_edited(copies[i], 300 + i, 1) for i in range(10)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(copies + linked_to_one)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found, pairs = _last_round(monkeypatch, table)
+    assert _sorted(found) == _sorted(jaccard(rows))
+    # All of them are some 8,000 pairs.
+    assert pairs < 10 * len(rows)
+
+
+def test_stars_lose_no_link(spark, monkeypatch):
+    # Chains of edits whose first texts are left out, a passage of many unlike texts,
+    # sets that agree in other word orders, and texts of other lengths.
+    draw, rows = random.Random(5), []
+    for line in range(12):
+        words = _edited(BASE, 500 + line, 4)
+        for step in range(6):
+            words = _edited(words, 600 + 10 * line + step, draw.randint(1, 2))
+            cut = words[: draw.randint(100, 120)]
+            rows.append(" ".join(cut))
+            rows += [" ".join(cut[60:] + cut[:60])] * draw.randint(0, 1)
+    rows += [PASSAGE + " " + " ".join(_words(900 + i, draw.randint(4, 30))) for i in range(40)]
+    cycle = _words(8, 30)
+    rows += [" ".join((cycle + cycle + cycle)[i : i + 64]) for i in range(3)]
+    rows = list(enumerate(rows))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    expected = _sorted(jaccard(rows))
+    for postings, frequent, rounds in ((0, 400_000, 0), (2, 5, 1), (16, 400_000, 0)):
+        monkeypatch.setattr(shingle_join, "PAIRED_POSTINGS", postings)
+        monkeypatch.setattr(shingle_join, "FREQUENT_TOKENS", frequent)
+        monkeypatch.setattr(shingle_join, "LEADER_ROUNDS", rounds)
+        found = shingle_join.jaccard_components(table).collect()
+        assert _sorted(found) == expected
+
+
 def _removed(docs):
     rows = suffix_dedup.remove_repeats(docs).collect()
     return _sorted(
