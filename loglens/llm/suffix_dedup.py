@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from loglens.llm.common import (
     pick,
@@ -401,32 +401,38 @@ def _union(starts, ends):
     return merged
 
 
-def _remove(batches):
-    """Spans and remaining bytes of each text."""
-    for batch in batches:
-        names = batch.schema.names
-        at = {n: batch.column(i) for i, n in enumerate(names)}
-        rest = [n for n in names if n not in ("packed", "n_bytes", "spans", "whole")]
-        spans, kept = [], []
-        rows = zip(*[at[n].to_pylist() for n in ("packed", "n_bytes", "spans", "whole")])
-        for packed, size, found, whole in rows:
-            text = _plain(packed, size)
-            if whole and size >= LENGTH:
-                merged = [[0, size]]
-            else:
-                merged = _union([s["from"] for s in found or []], [s["to"] for s in found or []])
-            parts, end = [], 0
-            for a, b in merged:
-                parts.append(text[end:a])
-                end = b
-            parts.append(text[end:])
-            spans.append([{"from": a, "to": b} for a, b in merged])
-            kept.append(b"".join(parts))
-        span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
-        yield pa.RecordBatch.from_arrays(
-            [*[at[n] for n in rest], at["n_bytes"], pa.array(spans, span), pa.array(kept, pa.binary())],
-            names=[*rest, "n_bytes", "spans", "kept"],
-        )
+def _remove(as_text: bool):
+    """Spans and remaining bytes of each text; as text, without bytes of cut characters."""
+
+    def run(batches):
+        for batch in batches:
+            names = batch.schema.names
+            at = {n: batch.column(i) for i, n in enumerate(names)}
+            rest = [n for n in names if n not in ("packed", "n_bytes", "spans", "whole")]
+            spans, kept = [], []
+            rows = zip(*[at[n].to_pylist() for n in ("packed", "n_bytes", "spans", "whole")])
+            for packed, size, found, whole in rows:
+                text = _plain(packed, size)
+                if whole and size >= LENGTH:
+                    merged = [[0, size]]
+                else:
+                    merged = _union([s["from"] for s in found or []], [s["to"] for s in found or []])
+                parts, end = [], 0
+                for a, b in merged:
+                    parts.append(text[end:a])
+                    end = b
+                parts.append(text[end:])
+                spans.append([{"from": a, "to": b} for a, b in merged])
+                rest_of = b"".join(parts)
+                kept.append(rest_of.decode(errors="ignore") if as_text else rest_of)
+            span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+            left = pa.array(kept, pa.string() if as_text else pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*[at[n] for n in rest], at["n_bytes"], pa.array(spans, span), left],
+                names=[*rest, "n_bytes", "spans", "kept"],
+            )
+
+    return run
 
 
 def _near(table: DataFrame, row_bytes: int) -> DataFrame:
@@ -543,7 +549,7 @@ class RepeatedBytes:
             "hash", "digest", "first", F.col("first").alias("last")
         )
 
-    def removed(self) -> DataFrame:
+    def removed(self, as_text=False) -> DataFrame:
         """All other columns of the rows, ``node``, ``n_bytes``, ``spans`` and ``kept``."""
         spans = self.spans()
         whole = self.classes.filter("rows > 1").select("node", F.lit(True).alias("whole"))
@@ -552,10 +558,11 @@ class RepeatedBytes:
         kept = [f for f in self.rows.schema.fields if f.name != "text"]
         order = ["node", *[f.name for f in kept], "packed", "n_bytes", "spans", "whole"]
         made = StructType.fromDDL(
-            "node bigint, n_bytes bigint, spans array<struct<from:bigint,to:bigint>>, kept binary"
+            "node bigint, n_bytes bigint, spans array<struct<from:bigint,to:bigint>>, "
+            + ("kept string" if as_text else "kept binary")
         ).fields
         schema = StructType([made[0], *kept, *made[1:]])
-        return rows.select(*order).mapInArrow(_remove, schema)
+        return rows.select(*order).mapInArrow(_remove(as_text), schema)
 
 
 def remove_repeats(docs: DataFrame, doc_id="doc_id", text="text", salt=0) -> DataFrame:
@@ -579,19 +586,11 @@ def documents_without_repeats(docs: DataFrame, text="text", size="n_chars", salt
         F.struct(*others, F.col(at_text).isNotNull().alias("there")).alias("row"),
         F.col(at_text).alias("text"),
     )
-    found = RepeatedBytes(rows, salt).removed()
-
-    def run(batches):
-        for batch in batches:
-            texts = [b.decode(errors="ignore") for b in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.string())], names=["row", "short"]
-            )
-
-    schema = StructType([rows.schema["row"], StructField("short", StringType())])
-    short = found.select("row", "kept").mapInArrow(run, schema)
+    # No Python step of its own for the characters: each step of a stage keeps a worker
+    # beside the others, with its memory, for all later stages.
+    short = RepeatedBytes(rows, salt).removed(as_text=True)
     columns = {c: F.col(f"row.{c}") for c in others}
-    columns[at_text] = F.when(F.col("row.there"), F.col("short"))
+    columns[at_text] = F.when(F.col("row.there"), F.col("kept"))
     if size in names:
         kind = docs.schema.fields[names.index(size)].dataType
         columns[plain[names.index(size)]] = F.length(columns[at_text]).cast(kind)

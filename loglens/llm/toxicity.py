@@ -32,6 +32,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -62,7 +63,10 @@ CANDIDATES = 20_000
 EDGES = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
 # Words longer than this are read in windows, half overlapping.
 WINDOW = 14
-TABLE_WORDS = 1_000_000
+# Words that a task remembers, and text bytes that it splits into words at a time: a
+# worker's memory depends on neither the table nor the partition.
+TABLE_WORDS = 200_000
+SCORE_BYTES = 1024 * 1024
 CLASSES = 32
 FEATURES = CLASSES**3
 NO_WORD = -9.0
@@ -178,14 +182,16 @@ class Scorer:
     def documents(self, texts) -> np.ndarray:
         rows = [words_of(t) for t in texts]
         known = self.known
-        if len(known) > TABLE_WORDS:
-            known.clear()
         new = list({w for row in rows for w in row if w not in known})
         known.update(zip(new, self.decide(new).tolist()))
         get = known.__getitem__
         scores = np.array([max(map(get, row), default=NO_WORD) for row in rows])
         for w in [w for w in new if len(w) > 64]:
             known.pop(w)
+        if len(known) > TABLE_WORDS:
+            # Words met again stay; others are decided anew where they return.
+            again = {w for row in rows for w in row if w in known}.difference(new)
+            self.known = {w: known[w] for w in islice(again, TABLE_WORDS)}
         return scores
 
 
@@ -397,7 +403,7 @@ def _boundary(sample: DataFrame, weights, bias) -> float:
     def judged(batches):
         scorer = Scorer(weights, bias)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SCORE_BYTES):
                 found = scorer.documents(texts_of(part, "text"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found, pa.float64()), part.column(1)], names=["worst", "label"]
@@ -434,7 +440,7 @@ def _with_score(rows: DataFrame, state) -> DataFrame:
     def run(batches):
         scorer = Scorer(*state) if state else None
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SCORE_BYTES):
                 scores = score_batch(scorer, texts_of(part, "text"))
                 columns = [part.column(f.name) for f in kept]
                 yield pa.RecordBatch.from_arrays(
@@ -460,7 +466,7 @@ def without_toxic(docs: DataFrame, state, threshold=0.5, text="text") -> DataFra
 
     rows = by_position(docs)
     scored = rows.withColumn(
-        "score", text_function(scores, "double")(F.col(f"_c{names.index(text)}"))
+        "score", text_function(scores, "double", SCORE_BYTES)(F.col(f"_c{names.index(text)}"))
     )
     return scored.filter(F.col("score") < threshold).drop("score").toDF(*names)
 
